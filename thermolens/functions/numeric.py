@@ -12,8 +12,9 @@ EPSILON = 1e-5
 
 def finite(name: str) -> Column:
     """The column as double; text that is no number, NaN and +/-Inf become null."""
-    value = F.col(name).try_cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    value = f"try_cast(`{name}` AS double)"
+    # A finite number minus itself is 0; NaN and the infinities give NaN, which is above 0 here.
+    return F.expr(f"CASE WHEN {value} - {value} = 0 THEN {value} END")
 
 
 def difference(left: str, right: str) -> Column:
@@ -46,6 +47,16 @@ def band(name: str, upper_bounds: Sequence[tuple[float, str]], otherwise: str) -
     return result.when(value.isNotNull(), otherwise)
 
 
+def rounded_half_away(name: str, digits: int) -> Column:
+    """Round a double without building a decimal per value; -0.0 becomes 0.0.
+
+    Values too large for any decimal place to be exact are left alone.
+    """
+    scale, value = f"1e{digits}D", f"`{name}`"
+    return F.expr(f"CASE WHEN abs({value}) < 1e{18 - digits}D THEN signum({value}) * "
+                  f"(floor(abs({value}) * {scale} + 0.5D) / {scale}) + 0D ELSE {value} END")
+
+
 def hash_key(name: str) -> Column:
     """A spread-out 32-bit number that depends on the id alone (Fibonacci hashing).
 

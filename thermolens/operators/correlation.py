@@ -14,10 +14,8 @@ from thermolens.schema import ENGINEERED, LABELS, TARGET
 
 def pairwise_correlation(a: str, b: str) -> Column:
     """Correlation over the rows where both values exist; 0.0 where it is undefined."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.coalesce(F.try_divide(F.covar_pop(x, y), spread), F.lit(0.0))
+    x, y = (f"CASE WHEN `{other}` IS NOT NULL THEN `{own}` END" for own, other in ((a, b), (b, a)))
+    return F.expr(f"coalesce(try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y})), 0D)")
 
 
 def _wide(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
@@ -35,13 +33,9 @@ def correlation_matrix(df: DataFrame, features: Sequence[str] = ENGINEERED,
     """The full symmetric matrix of the features and one indicator per class, as (a, b, r)."""
     names = [*features, *[f"state_{label}" for label in labels]]
     wide, pairs = _wide(_correlated(df, features, labels, target), names)
-    cells = []
-    for a, b in pairs:
-        r = F.col(f"`{a}|{b}`")
-        cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-        if a != b:
-            cells.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), r.alias("r")))
-    return wide.select(F.inline(F.array(*cells)))
+    both_ways = {(a, b): f"`{a}|{b}`" for a, b in pairs} | {(b, a): f"`{a}|{b}`" for a, b in pairs}
+    cells = ", ".join(f"'{a}', '{b}', {r}" for (a, b), r in both_ways.items())
+    return wide.select(F.expr(f"stack({len(both_ways)}, {cells}) AS (a, b, r)"))
 
 
 def class_association(df: DataFrame, features: Sequence[str] = ENGINEERED,

@@ -16,10 +16,9 @@ from pyspark.sql import types as T
 
 from thermolens.functions.numeric import finite
 from thermolens.operators.features import add_physical_features
-from thermolens.operators.order_stats import (RANKED_VALUES, long_medians, medians_with_total,
-                                              widen)
+from thermolens.operators.order_stats import RANKED_VALUES, exact_medians, widen
 from thermolens.schema import DELTA_INPUTS, IMPUTED, RATIO_INPUTS, ZONE
-from thermolens.session import lookup_join, materialise
+from thermolens.session import keep, lookup_join
 from thermolens.sources.guards import raise_on_guard, require_columns
 
 
@@ -37,7 +36,13 @@ def global_medians(df: DataFrame, columns: Sequence[str] = IMPUTED, *, method: s
     clean = df.select(*[finite(c).alias(c) for c in columns])
     if method == "approx":
         return clean.agg(*[F.percentile_approx(c, 0.5).alias(c) for c in columns])
-    return widen(long_medians(clean, [], columns, limit=limit), [], columns)
+    if clean.count() <= min(limit, SMALL_TABLE):
+        return clean.agg(*[F.median(c).alias(c) for c in columns])
+    return widen(exact_medians(clean, [], columns, limit), [], columns)
+
+
+# Up to this many rows in all, no group can make the value map of ``median`` too large.
+SMALL_TABLE = 5_000_000
 
 
 class _MedianParams(Params):
@@ -65,8 +70,9 @@ class _MedianParams(Params):
 class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Learns a median per group and column, and a global one for the gaps.
 
-    One aggregate checks the input and sizes the groups; a second one finds all medians. The
-    fitted state is a small table in checkpoint storage.
+    One aggregate checks the input and counts it, a second one finds all medians. Small tables
+    use Spark's ``median``, which holds a group's values in memory; larger ones are ranked by
+    counting (see ``order_stats``). Exact either way.
     """
 
     @keyword_only
@@ -80,39 +86,38 @@ class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, Defaul
         require_columns(dataset, [key, *columns])
         clean = dataset.select(F.col(key).cast("string").alias(key),
                                *[finite(c).alias(c) for c in columns])
-        sizes = self._check(clean, key, columns)
-        zones, total = self._medians(clean, key, columns, sizes)
-        table = materialise(widen(zones, [key], columns).join(
-            widen(zones, [key], columns, "n").select(
-                key, F.greatest(F.lit(0), *columns).alias("n")), key))
-        fitted = {r["column"]: r["median"] for r in total.collect()}  # one row per column
-        model = GroupMedianModel(table, fitted, sizes["groups"])
-        return self._copyValues(model)
-
-    def _check(self, clean: DataFrame, key: str, columns: list[str]) -> dict:
-        per_group = clean.groupBy(key).agg(
-            F.count(F.lit(1)).alias("n"), *[e for c in columns for e in (
-                F.count(c).alias(f"n_{c}"), F.approx_count_distinct(c).alias(f"d_{c}"))])
-        distinct = [F.col(f"d_{c}") for c in columns]
-        report = per_group.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-            *[F.coalesce(F.sum(f"n_{c}"), F.lit(0)).alias(f"observed_{c}") for c in columns],
-            F.count(F.lit(1)).alias("groups"),
-            F.greatest(F.lit(0), *[F.max(d) for d in distinct]).alias("widest"),
-            F.greatest(F.lit(0), *[F.sum(d) for d in distinct]).alias("widest_total"),
-        ).first().asDict()
+        report = clean.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(key).isNull()).alias("null_keys"),
+            F.approx_count_distinct(key).alias("groups"),
+            *[F.count(c).alias(f"observed_{c}") for c in columns]).first().asDict()
         raise_on_guard(report, columns)
-        return report
+        # The estimate of the group count is off by some percent; leave room.
+        groups = 2 * report["groups"]
+        zones, total = self._medians(clean, key, columns, report["n_rows"])
+        both = zones.unionByName(total.withColumn(key, F.lit(None).cast("string")))
+        kept = keep(both.select(key, *columns, "n"), groups)
+        is_total = F.col(key).isNull()
+        fitted = (kept.table.filter(is_total).first() if kept.rows is None
+                  else next(row for row in kept.rows if row[key] is None))
+        model = GroupMedianModel(kept.table.filter(~is_total), {c: fitted[c] for c in columns},
+                                 groups)
+        return self._copyValues(model)
 
     def _medians(self, clean: DataFrame, key: str, columns: list[str],
-                 sizes: dict) -> tuple[DataFrame, DataFrame]:
+                 rows: int) -> tuple[DataFrame, DataFrame]:
+        """Wide medians per group, and for all rows, each with its row count ``n``."""
         method = self.getOrDefault(self.method)
         limit = self.getOrDefault(self.rankedValues)
-        if method == "exact" and sizes["widest_total"] <= limit:
-            return medians_with_total(clean, key, columns)
-        return (long_medians(clean, [key], columns, method, limit),
-                long_medians(clean, [], columns, method, limit))
+        if method == "approx" or rows <= min(limit, SMALL_TABLE):
+            middle = (lambda c: F.percentile_approx(c, 0.5)) if method == "approx" else F.median
+            picked = [*[middle(c).alias(c) for c in columns], F.count(F.lit(1)).alias("n")]
+            return clean.groupBy(key).agg(*picked), clean.agg(*picked)
+        return (_widen_with_count(exact_medians(clean, [key], columns, limit), [key], columns),
+                _widen_with_count(exact_medians(clean, [], columns, limit), [], columns))
+
+
+def _widen_with_count(long: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    return widen(long, keys, columns, F.max("n").alias("n"))
 
 
 class GroupMedianModel(_MedianParams, Model, MLReadable, MLWritable):

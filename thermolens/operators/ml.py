@@ -59,9 +59,12 @@ def global_median_imputer(columns: Sequence[str] = IMPUTED) -> Imputer:
 
 
 def cleaning_stages(group: str = ZONE) -> list:
-    """Fill sensor gaps, derive the physical features, then fill undefined ratios."""
-    return [GroupMedianImputer(groupCol=group, inputCols=list(IMPUTED)), PhysicalFeatures(),
-            GroupMedianImputer(groupCol=group, inputCols=list(RATIOS))]
+    """Derive the physical features, then fill sensor gaps and undefined ratios.
+
+    The features do not depend on the filled sensors, so one fit learns both sets of medians.
+    """
+    return [PhysicalFeatures(),
+            GroupMedianImputer(groupCol=group, inputCols=[*IMPUTED, *RATIOS])]
 
 
 def vector_stages(with_mean: bool = False, with_std: bool = True) -> list:
@@ -109,9 +112,13 @@ def forest(trees: int = 100, depth: int = 14, seed: int = SEED) -> RandomForestC
 
 
 def logistic_regression(rows: int, max_iter: int = 1000) -> LogisticRegression:
-    """Multinomial with the usual unit L2 penalty, which Spark states per row."""
+    """Multinomial with a unit L2 penalty, which Spark states per row.
+
+    The inputs are z-scores already, so the penalty applies to them as they are.
+    """
     return LogisticRegression(featuresCol="features", labelCol=LABEL, family="multinomial",
-                              maxIter=max_iter, regParam=1.0 / max(rows, 1), elasticNetParam=0.0)
+                              maxIter=max_iter, tol=1e-4, regParam=1.0 / max(rows, 1),
+                              elasticNetParam=0.0, standardization=False)
 
 
 def boosted_trees(rounds: int = 100, depth: int = 5, parallelism: int = len(LABELS),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from thermolens.functions.labels import micros
-from thermolens.session import BROADCAST_ROWS, lookup_join, materialise
+from thermolens.session import Kept, keep, lookup_join, materialise
 
 RANKED_VALUES = 1_000_000
 CELLS = 1024
@@ -45,8 +45,8 @@ def rank_counted(counted: DataFrame, keys: Sequence[str], value: str, ranks: Ran
                  below: str | None = None) -> DataFrame:
     """Pick ranks from distinct values with counts.
 
-    Returns the keys, ``n`` (rows), ``low`` / ``high`` (values at the first / last rank) and
-    ``below`` (rows strictly under ``low``).
+    Returns the keys, ``n`` (rows), ``low`` / ``high`` (values at the first / last rank),
+    ``below`` (rows strictly under ``low``) and ``equal`` (rows at ``low``).
     """
     whole = Window.partitionBy(*keys)
     running = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -58,7 +58,8 @@ def rank_counted(counted: DataFrame, keys: Sequence[str], value: str, ranks: Ran
     hit = ranked.filter((F.col("_start") <= last) & (F.col("_end") > first))
     return hit.groupBy(*keys).agg(
         F.max("_n").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"),
-        F.min("_start").alias("below"))
+        F.min("_start").alias("below"), F.min_by(F.col("_end") - F.col("_start"), value)
+        .alias("equal"))
 
 
 def select_ranks(obs: DataFrame, keys: Sequence[str], value: str, ranks: RankRule,
@@ -102,7 +103,8 @@ def _select_by_narrowing(obs: DataFrame, keys: list[str], value: str, ranks: Ran
            .filter((F.col("_start") <= F.col("_rank")) & (F.col("_end") > F.col("_rank"))))
     return hit.groupBy(*keys).agg(
         F.max("_n").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"),
-        F.min("_start").alias("below"))
+        F.min("_start").alias("below"), F.min_by(F.col("_end") - F.col("_start"), value)
+        .alias("equal"))
 
 
 def _inside(obs: DataFrame, keys: list[str], value: str, bounds: DataFrame, rows: int) -> DataFrame:
@@ -140,84 +142,66 @@ def observations(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
         F.col("value").isNotNull())
 
 
-def long_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                 method: str = "exact", limit: int = RANKED_VALUES) -> DataFrame:
+def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                  limit: int = RANKED_VALUES) -> DataFrame:
     """(keys, column, median, n) for every group and column with at least one value."""
-    obs = observations(df, keys, columns)
-    if method == "approx":
-        return obs.groupBy(*keys, "column").agg(
-            F.percentile_approx("value", 0.5).alias("median"), F.count("value").alias("n"))
-    if method != "exact":
-        raise ValueError(f"Unknown median method: {method}")
-    picked = select_ranks(obs, [*keys, "column"], "value", middle_ranks, limit)
-    return picked.select(*keys, "column", _mean_of_middle().alias("median"), "n")
-
-
-def _mean_of_middle() -> Column:
-    return F.col("low") + (F.col("high") - F.col("low")) / 2
-
-
-def medians_with_total(df: DataFrame, key: str, columns: Sequence[str],
-                       limit: int = RANKED_VALUES) -> tuple[DataFrame, DataFrame]:
-    """Long medians per key and over all rows, from one shared count of distinct values.
-
-    ``df`` must have no null keys. The caller has checked that no group, and not the whole
-    table, has more than ``limit`` distinct values in a column.
-    """
-    counted = value_counts(observations(df, [key], columns), [key, "column"], "value")
-    total = counted.groupBy("column", "value").agg(F.sum("_c").alias("_c"))
-    grouped = rank_counted(counted, [key, "column"], "value", middle_ranks)
-    overall = rank_counted(total, ["column"], "value", middle_ranks)
-    return (grouped.select(key, "column", _mean_of_middle().alias("median"), "n"),
-            overall.select("column", _mean_of_middle().alias("median"), "n"))
+    picked = select_ranks(observations(df, keys, columns), [*keys, "column"], "value",
+                          middle_ranks, limit)
+    middle = F.col("low") + (F.col("high") - F.col("low")) / 2
+    return picked.select(*keys, "column", middle.alias("median"), "n")
 
 
 def widen(long: DataFrame, keys: Sequence[str], columns: Sequence[str],
-          value: str = "median") -> DataFrame:
+          *extra: Column) -> DataFrame:
     """One column per entry of ``columns``; the list is fixed, so no extra job looks it up."""
-    picked = [F.max(F.when(F.col("column") == c, F.col(value))).alias(c) for c in columns]
-    return long.groupBy(*keys).agg(*picked) if keys else long.agg(*picked)
+    picked = [F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in columns]
+    return long.groupBy(*keys).agg(*picked, *extra)
 
 
 # --- boundaries --------------------------------------------------------------------------------
 
 def rank_boundary(df: DataFrame, order: Sequence[str], wanted: Callable[[Column], Column],
-                  by: Sequence[str] = (), limit: int = RANKED_VALUES) -> DataFrame:
+                  by: Sequence[str] = (), limit: int = RANKED_VALUES) -> tuple[Kept, int]:
     """The tuple of ``order`` values that ends the first ``wanted(n)`` rows of each group.
 
     The ``order`` columns are whole numbers or zone-less time stamps, together unique within a
-    group. Groups with ``wanted(n)`` = 0 have no row in the result. Columns: ``by`` and
-    ``_b0, _b1, ...``. The first column is searched over all rows, each later one only among the
-    rows that tie on the columns before it.
+    group. Groups with ``wanted(n)`` = 0 have no row in the result. Returns a table with ``by``
+    and ``_b0, _b1, ...`` (among others), and the number of groups. The first column is searched
+    over all rows, each later one only among the rows that tie on the columns before it.
     """
     keys = list(by) or ["_all"]
     numeric = [f"_o{i}" for i in range(len(order))]
     base = df.select(
         *(list(by) if by else [F.lit(1).alias("_all")]),
         *[_as_number(df, c).alias(o) for c, o in zip(order, numeric)])
-    known: DataFrame | None = None
-    for i, column in enumerate(numeric):
-        if known is None:
-            rule = _wanted_rule(wanted)
-            scope, scope_keys = base, keys
-        else:
-            scope = lookup_join(base, known, keys, known_rows, how="inner", weight="_need")
-            for j in range(i):
-                scope = scope.filter(F.col(numeric[j]) == F.col(f"_b{j}"))
-            # _need travels as a key: it is constant within a group
-            scope_keys = [*keys, "_need", *[f"_b{j}" for j in range(i)]]
-            rule = _need_rule
-        picked = select_ranks(scope.select(*scope_keys, column), scope_keys, column, rule, limit)
-        if known is None:
-            need = wanted(F.col("n")).cast("bigint") - F.col("below")
-            picked = picked.filter(wanted(F.col("n")) > 0)
-        else:
-            need = F.col("_need") - F.col("below")
-        known = materialise(picked.select(
-            *keys, *[f"_b{j}" for j in range(i)], F.col("low").alias(f"_b{i}"),
-            need.alias("_need")))
-        known_rows = known.count()
-    return known.drop("_need") if by else known.drop("_need", "_all")
+    sizes = group_sizes(base, keys, numeric[0])
+    groups, widest = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("_d"), F.lit(0))).first()
+    rule = _wanted_rule(wanted)
+    picked = (rank_counted(value_counts(base, keys, numeric[0]), keys, numeric[0], rule)
+              if widest <= limit else
+              _select_by_narrowing(base, keys, numeric[0], rule, sizes, limit, CELLS))
+    need = wanted(F.col("n")).cast("bigint") - F.col("below")
+    known = keep(picked.filter(wanted(F.col("n")) > 0).select(
+        *keys, F.col("low").alias("_b0"), need.alias("_need"), F.col("equal").alias("_ties")),
+        groups)
+    for i, column in enumerate(numeric[1:], 1):
+        found = [f"_b{j}" for j in range(i)]
+        ties = lookup_join(base, known.table, keys, groups, how="inner", weight="_ties")
+        for o, bound in zip(numeric, found):
+            ties = ties.filter(F.col(o) == F.col(bound))
+        # What is known of a group travels as keys: it is constant within the group.
+        scope_keys = [*keys, "_need", *found]
+        scope = ties.select(*scope_keys, column)
+        most = (known.table.agg(F.max("_ties")).first()[0] if known.rows is None
+                else max((row["_ties"] for row in known.rows), default=0)) or 0
+        picked = (rank_counted(value_counts(scope, scope_keys, column), scope_keys, column,
+                               _need_rule) if most <= limit
+                  else select_ranks(scope, scope_keys, column, _need_rule, limit))
+        known = keep(picked.select(
+            *keys, *found, F.col("low").alias(f"_b{i}"),
+            (F.col("_need") - F.col("below")).alias("_need"), F.col("equal").alias("_ties")),
+            groups)
+    return known, groups
 
 
 def _wanted_rule(wanted: Callable[[Column], Column]) -> RankRule:

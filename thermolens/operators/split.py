@@ -55,9 +55,10 @@ def rank_condition(df: DataFrame, first: Column | float, order: tuple[str, ...]
         wanted = lambda n: F.floor(n * F.lit(first))
     else:
         wanted = lambda n: F.least(n, F.lit(first))
-    bound = rank_boundary(df, order, wanted, limit=limit).first()
-    if bound is None:
+    known, _ = rank_boundary(df, order, wanted, limit=limit)
+    if not known.rows:
         return F.lit(False)
+    bound = known.rows[0]
     kinds = dict(df.dtypes)
     test = None
     for i, name in reversed(list(enumerate(order))):
@@ -94,8 +95,9 @@ def add_stratified_split(df: DataFrame, share: float = 0.8, label: str = TARGET,
     """
     hashed = df.withColumn("_hash", hash_key(key))
     order = ("_hash", key)
-    bound = rank_boundary(hashed, order, lambda n: F.floor(n * F.lit(share)), [label], limit)
-    joined = lookup_join(hashed, bound, [label], bound.count())
+    bound, classes = rank_boundary(hashed, order, lambda n: F.floor(n * F.lit(share)), [label],
+                                   limit)
+    joined = lookup_join(hashed, bound.table.select(label, "_b0", "_b1"), [label], classes)
     inside = within_boundary(hashed, order, [F.col("_b0"), F.col("_b1")])
     split = F.when(F.coalesce(inside, F.lit(False)), "train").otherwise("test")
     return joined.withColumn("split", split).select(*df.columns, "split")

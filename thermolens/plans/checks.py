@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from thermolens.operators.rules import LABEL_ATTRIBUTES
 from thermolens.operators.scoring import DEFAULT_IMPORTANCES
-from thermolens.plans.queries import CUTOFF, FIRST_ROWS
+from thermolens.plans.queries import CUTOFF, FIRST_ROWS, RATIO_DIGITS
 from thermolens.schema import (ENGINEERED, IMPUTED, LABELS, MODEL_FEATURES, PHYSICAL,
                                RATIO_INPUTS, RATIOS, RAW_SCHEMA, SCORING_SCHEMA, VALID_RANGES,
                                VECTOR_FEATURES)
@@ -19,12 +19,12 @@ READINGS = f"WITH readings AS ({READINGS_SQL.format(events='events')})"
 DOUBLES = {f.name for f in RAW_SCHEMA if f.dataType.typeName() == "double"} | set(ENGINEERED)
 
 
-def r(expression: str, name: str | None = None) -> str:
-    return f"round({expression}, 6) + 0.0 AS {name or expression}"
+def r(expression: str, name: str | None = None, digits: int = 6) -> str:
+    return f"round({expression}, {digits}) + 0.0 AS {name or expression}"
 
 
-def pick(names, prefix: str = "") -> str:
-    return ", ".join(r(f"{prefix}{n}", n) if n in DOUBLES else f"{prefix}{n}" for n in names)
+def pick(names, digits: int = 6) -> str:
+    return ", ".join(r(n, n, digits) if n in DOUBLES else n for n in names)
 
 
 RAW = [f.name for f in RAW_SCHEMA]
@@ -206,14 +206,14 @@ CHECKS: dict[str, str] = {
         "ventilation_pct": "Ventilation", "thermal_pct": "Thermal", "risk": "Risk"}),
     "delta_features": f"{READINGS} SELECT reading_id, {DELTA_SQL} FROM readings",
     **{name: f"{READINGS}, f AS (SELECT reading_id, {ratio_sql(policy)} FROM readings) "
-             f"SELECT reading_id, {pick(RATIOS)} FROM f"
+             f"SELECT reading_id, {pick(RATIOS, RATIO_DIGITS)} FROM f"
        for name, policy in (("ratio_features", "null"),
                             ("ratio_features_add_epsilon", "add_epsilon"),
                             ("ratio_features_clamp_epsilon", "clamp_epsilon"))},
     "enrich_idempotent": f"{READINGS}, f AS (SELECT *, {ratio_sql()} FROM readings) "
                          "SELECT reading_id, CAST(floor_number AS DOUBLE) AS delta_temp_c, "
                          "indoor_humidity_pct - outdoor_humidity_pct AS delta_humidity_pct, "
-                         f"{pick(RATIOS[:2])} FROM f",
+                         f"{pick(RATIOS[:2], RATIO_DIGITS)} FROM f",
     "parse_timestamp": f"{READINGS} SELECT reading_id, "
                        "CASE WHEN reading_id % 17 <> 0 THEN recorded_at END AS recorded_at, "
                        "reading_id % 17 <> 0 AS is_valid FROM readings",
@@ -242,7 +242,7 @@ CHECKS: dict[str, str] = {
                   "CAST(replace(split_part(building_zone, '-', 2), 'Z', '') AS INT) AS zone_floor "
                   "FROM readings",
     "feature_projection": f"{READINGS}, f AS (SELECT *, {DELTA_SQL}, {ratio_sql()} FROM readings) "
-                          f"SELECT building_zone, diagnostic_state, {pick(MODEL_FEATURES)} FROM f",
+                          f"SELECT building_zone, diagnostic_state, {pick(MODEL_FEATURES, RATIO_DIGITS)} FROM f",
     "split_by_cutoff": f"{READINGS} SELECT reading_id, CASE WHEN {BEFORE} THEN 'train' "
                        "ELSE 'test' END AS split FROM readings",
     "split_by_rank": f"{READINGS} SELECT reading_id, CASE WHEN row_number() OVER "
@@ -256,7 +256,8 @@ CHECKS: dict[str, str] = {
     "hash_split": f"{READINGS} SELECT reading_id, CASE WHEN {BUCKET} < 8000 THEN 'train' "
                   "ELSE 'test' END AS split FROM readings",
     "group_median_impute": f"{FILLED} SELECT reading_id, {pick(IMPUTED)} FROM filled",
-    "fit_train_apply_test_rows": f"{FILLED} SELECT reading_id, {pick((*IMPUTED, *ENGINEERED))} "
+    "fit_train_apply_test_rows": f"{FILLED} SELECT reading_id, "
+                                 f"{pick((*IMPUTED, *ENGINEERED), RATIO_DIGITS)} "
                                  f"FROM feat WHERE NOT ({BEFORE})",
     "zone_dimension": f"{READINGS}, b AS (SELECT DISTINCT {BUILDING} AS building FROM readings), "
                       "g AS (SELECT building, 'Z0' || CAST(i AS VARCHAR) AS zone FROM b, range(1, 5) t(i)) "
@@ -342,7 +343,8 @@ CHECKS: dict[str, str] = {
                             + ", ".join(r(f"coalesce({c}, m_{c})", c) for c in IMPUTED)
                             + " FROM readings, m_t",
     "assembled_features": f"{FULL} SELECT reading_id, "
-                          + ", ".join(r(f"CAST({c} AS DOUBLE)", c) for c in VECTOR_FEATURES)
+                          + ", ".join(r(f"CAST({c} AS DOUBLE)", c, RATIO_DIGITS)
+                                      for c in VECTOR_FEATURES)
                           + " FROM vec",
     "scaled_features": f"{STATS} SELECT reading_id, {SCALED} FROM vec, stats",
     "feature_pipeline": f"{STATS} SELECT reading_id, CAST(CASE diagnostic_state WHEN 'normal' THEN 0 "

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermolens.functions.labels import wall_clock
+from thermolens.functions.numeric import rounded_half_away
 from thermolens.operators import curves, evaluate, features, impute, ml, profile, rollup, rules
 from thermolens.operators import scoring, split
 from thermolens.operators.correlation import class_association, correlation_matrix
@@ -21,14 +22,16 @@ from thermolens.plans.jobs import fit_train_apply_test, tuning_job
 from thermolens.schema import (DELTAS, ENGINEERED, ID, IMPUTED, LABELS, MODEL_FEATURES, PHYSICAL,
                                RATIOS, RAW_SCHEMA, SCORING_SCHEMA, TARGET, TIME, VECTOR_FEATURES,
                                ZONE, ZONE_INDEX)
-from thermolens.session import persisted, scratch_path
-from thermolens.sources.fixture import load_readings, readings_from_events
+from thermolens.session import persisted, scratch_path, spread_rows
+from thermolens.sources.fixture import EVENTS_SCHEMA, load_readings, readings_from_events
 from thermolens.sources.guards import guard_report
 from thermolens.sources.tables import coerce_schema, read_csv, read_table, write_csv
 from thermolens.streaming import jobs as streams
 
 CUTOFF = "2024-01-24"
 FIRST_ROWS = 5_000
+# Quotients of the derived readings end within eight decimals or never: no rounding ties.
+RATIO_DIGITS = 8
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -39,10 +42,10 @@ def query(function: Query) -> Query:
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double; adding 0.0 turns -0.0 into 0.0."""
+    """Round every double column."""
     return df.select(*[
-        (F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0)).alias(f.name)
-        if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`") for f in df.schema])
+        rounded_half_away(f.name, digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+        else F.col(f"`{f.name}`") for f in df.schema])
 
 
 def _sides(train: DataFrame, test: DataFrame, *columns: str) -> DataFrame:
@@ -83,7 +86,7 @@ def first_n_rows(spark, folder):
 @query
 def feature_metadata(spark, folder):
     """Position, role and fitted scale of every entry of the feature vector."""
-    with persisted(_train(spark, folder)) as train:
+    with persisted(spread_rows(_train(spark, folder))) as train:
         model = ml.feature_pipeline(include_label=False).fit(train)
     scale = [float(s) for s in model.stages[-1].std]
     rows = [(i, name, name in IMPUTED, name in ENGINEERED, scale[i])
@@ -138,7 +141,8 @@ def delta_features(spark, folder):
 
 
 def _ratios(spark, folder, policy):
-    return rounded(features.add_ratios(load_readings(spark, folder), policy).select(ID, *RATIOS))
+    return rounded(features.add_ratios(load_readings(spark, folder), policy).select(ID, *RATIOS),
+                   RATIO_DIGITS)
 
 
 @query
@@ -161,7 +165,8 @@ def enrich_idempotent(spark, folder):
     partial = load_readings(spark, folder).drop("hvac_power_kw").withColumn(
         "delta_temp_c", F.col("floor_number").cast("double"))
     enriched = features.enrich(features.enrich(partial))
-    return rounded(enriched.select(ID, *[c for c in ENGINEERED if c in enriched.columns]))
+    return rounded(enriched.select(ID, *[c for c in ENGINEERED if c in enriched.columns]),
+                   RATIO_DIGITS)
 
 
 @query
@@ -217,7 +222,7 @@ def parse_zone(spark, folder):
 @query
 def feature_projection(spark, folder):
     enriched = features.add_physical_features(load_readings(spark, folder))
-    return rounded(features.project_features(enriched))
+    return rounded(features.project_features(enriched), RATIO_DIGITS)
 
 
 # --- splits, samples and ranks -------------------------------------------------------------------
@@ -259,7 +264,7 @@ def group_median_impute(spark, folder):
 @query
 def fit_train_apply_test_rows(spark, folder):
     fitted = fit_train_apply_test(load_readings(spark, folder), CUTOFF)
-    return rounded(fitted.test.select(ID, *IMPUTED, *ENGINEERED))
+    return rounded(fitted.test.select(ID, *IMPUTED, *ENGINEERED), RATIO_DIGITS)
 
 
 @query
@@ -422,15 +427,16 @@ def global_median_impute(spark, folder):
 
 
 def _vectors(spark, folder, stages: Sequence) -> DataFrame:
-    with persisted(_train(spark, folder)) as train:
+    with persisted(spread_rows(_train(spark, folder))) as train:
         model = Pipeline(stages=list(stages)).fit(train)
-    return model.transform(load_readings(spark, folder))
+    return model.transform(spread_rows(load_readings(spark, folder)))
 
 
 @query
 def assembled_features(spark, folder):
     made = _vectors(spark, folder, [*ml.cleaning_stages(), *ml.vector_stages()[:2]])
-    return rounded(ml.spread(made.select(ID, "raw_features"), "raw_features", VECTOR_FEATURES))
+    return rounded(ml.spread(made.select(ID, "raw_features"), "raw_features", VECTOR_FEATURES),
+                   RATIO_DIGITS)
 
 
 @query
@@ -442,13 +448,13 @@ def scaled_features(spark, folder):
 def _fitted(spark, folder, pipeline: Pipeline | None = None):
     """A pipeline fitted on the training side, and both sides."""
     train, test = split.split_by_cutoff(load_readings(spark, folder), CUTOFF)
-    with persisted(train) as kept:
+    with persisted(spread_rows(train)) as kept:
         model = (pipeline or ml.feature_pipeline()).fit(kept)
     return model, train, test
 
 
 def _vectors_of(pipeline, df: DataFrame) -> DataFrame:
-    return pipeline.transform(df).select("label", "features")
+    return pipeline.transform(spread_rows(df)).select("label", "features")
 
 
 @query
@@ -460,9 +466,9 @@ def feature_pipeline(spark, folder):
 
 @query
 def onehot_zscore(spark, folder):
-    with persisted(_train(spark, folder)) as train:
+    with persisted(spread_rows(_train(spark, folder))) as train:
         model = ml.onehot_pipeline(include_label=False).fit(train)
-    made = model.transform(load_readings(spark, folder))
+    made = model.transform(spread_rows(load_readings(spark, folder)))
     zones = F.array(*[F.lit(z) for z in ml.fitted_zones(model)])
     hot = F.array_position(ml.vector_to_array("zone_onehot"), F.lit(1.0))
     named = made.select(ID, "zscores", F.get(zones, (hot - 1).cast("int")).alias("active_zone"))
@@ -550,9 +556,8 @@ def label_attributes(spark, folder):
 # --- streaming -----------------------------------------------------------------------------------
 
 def _reading_stream(spark, folder):
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
     # A pattern, because a stream takes a folder or a pattern but not one plain file.
-    events = streams.read_stream(spark, f"{folder}/events.parquet*", schema)
+    events = streams.read_stream(spark, f"{folder}/events.parquet*", EVENTS_SCHEMA)
     return readings_from_events(spark, events)
 
 

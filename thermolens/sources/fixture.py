@@ -7,6 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Stating the schema saves the job that would read it from the files.
+EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+                 "value double, props string")
+
 READINGS_SQL = """
 WITH b AS (
   SELECT event_id, ts, value, event_type, user_id % 24 AS z, user_id % 120 AS s,
@@ -47,4 +51,5 @@ def readings_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
 
 
 def load_readings(spark: SparkSession, folder: str) -> DataFrame:
-    return readings_from_events(spark, spark.read.parquet(f"{folder}/events.parquet"))
+    events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+    return readings_from_events(spark, events)

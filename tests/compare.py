@@ -59,13 +59,14 @@ def main() -> int:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--folder", default="/root/testdata/sf0.01")
+    parser.add_argument("--checked", action="store_true", help="only queries that have a SQL check")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     spark = get_session(shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con, checks, failed = connect(args.folder), oracle_sql(), 0
     for name, run in queries().items():
-        if args.names and name not in args.names:
+        if (args.names and name not in args.names) or (args.checked and name not in checks):
             continue
         start = time.perf_counter()
         try:

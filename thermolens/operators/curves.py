@@ -10,15 +10,13 @@ def speedup_efficiency(df: DataFrame, series: str, resource: str = "cores",
                        time: str = "time_s") -> DataFrame:
     """Speed-up and parallel efficiency against the smallest resource count of each series.
 
-    The baseline of a series is found with an aggregate, not by sorting the series.
+    ``df`` has one row per measured resource count, so a series is a few rows long.
     """
-    base = df.groupBy(series).agg(
-        F.min(F.struct(resource, time)).alias("_base"))
-    joined = df.join(base, series)
-    speedup = F.try_divide(F.col("_base")[time], F.col(time))
-    factor = F.try_divide(F.col(resource).cast("double"), F.col("_base")[resource])
-    return joined.select(series, resource, time, speedup.alias("speedup"),
-                         F.try_divide(speedup, factor).alias("efficiency"))
+    whole = Window.partitionBy(series)
+    speedup = F.try_divide(F.min_by(time, resource).over(whole), F.col(time))
+    factor = F.try_divide(F.col(resource).cast("double"), F.min(resource).over(whole))
+    return df.select(series, resource, time, speedup.alias("speedup"),
+                     F.try_divide(speedup, factor).alias("efficiency"))
 
 
 def curve_crossover(df: DataFrame, series: str, size: str = "size", first: str = "first_time",

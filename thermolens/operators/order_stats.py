@@ -172,8 +172,8 @@ def rank_boundary(df: DataFrame, order: Sequence[str], wanted: Callable[[Column]
     keys = list(by) or ["_all"]
     numeric = [f"_o{i}" for i in range(len(order))]
     base = df.select(
-        *(list(by) if by else [F.lit(1).alias("_all")]),
-        *[_as_number(df, c).alias(o) for c, o in zip(order, numeric)])
+        *([_present(c, F.col(c)).alias(c) for c in by] or [F.lit(1).alias("_all")]),
+        *[_present(c, _as_number(df, c)).alias(o) for c, o in zip(order, numeric)])
     sizes = group_sizes(base, keys, numeric[0])
     groups, widest = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("_d"), F.lit(0))).first()
     rule = _wanted_rule(wanted)
@@ -216,6 +216,12 @@ def _need_rule(n: Column) -> Sequence[Column]:
     return rank, rank
 
 
+def _present(name: str, value: Column) -> Column:
+    """A null has no rank: it is an error rather than a row that silently joins neither side."""
+    return F.when(value.isNotNull(), value).otherwise(
+        F.raise_error(F.lit(f"{name} contains null values")))
+
+
 def _as_number(df: DataFrame, name: str) -> Column:
     kind = dict(df.dtypes)[name]
     return micros(F.col(name)) if kind == "timestamp_ntz" else F.col(name).cast("bigint")

@@ -41,16 +41,13 @@ def floor_issue_rate(df: DataFrame, label: str = THERMAL) -> DataFrame:
 
 
 def zone_dimension(df: DataFrame, zones_per_building: int = 4) -> DataFrame:
-    """Every building with its full list of zones, and the readings seen in each.
+    """Every building with its full list of zones, and the readings seen in each (maybe none).
 
-    Zones are generated per building from a sequence, so no product of tables is formed.
+    Zones are counted side by side in one aggregate, so no product of tables is formed.
     """
-    seen = df.groupBy(building(ZONE).alias("building"), zone_part(ZONE).alias("zone")).agg(
-        F.count(F.lit(1)).alias("seen"))
-    numbers = F.explode(F.sequence(F.lit(1), F.lit(zones_per_building)))
-    grid = seen.select("building").distinct().select("building", numbers.alias("number"))
-    grid = grid.select("building", F.format_string("Z%02d", "number").alias("zone"))
-    joined = grid.join(seen, ["building", "zone"], "left")
-    return joined.select("building", "zone",
-                         F.concat_ws("-", "building", "zone").alias("building_zone"),
-                         F.coalesce("seen", F.lit(0)).alias("n_readings"))
+    zones = [f"Z{i:02d}" for i in range(1, zones_per_building + 1)]
+    wide = df.groupBy(building(ZONE).alias("building")).agg(
+        *[F.count_if(zone_part(ZONE) == z).alias(z) for z in zones])
+    return wide.unpivot("building", zones, "zone", "n_readings").select(
+        "building", "zone", F.concat_ws("-", "building", "zone").alias("building_zone"),
+        "n_readings")

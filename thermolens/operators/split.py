@@ -44,12 +44,12 @@ def split_by_cutoff(df: DataFrame, cutoff: str = DEFAULT_CUTOFF, column: str = T
     return df.filter(before), df.filter(~before)
 
 
-def rank_condition(df: DataFrame, first: Column | float, order: tuple[str, ...] = (TIME, ID),
-                   limit: int = RANKED_VALUES) -> Column:
-    """True for the first share (float) or number (int) of rows in ``order``.
+def rank_conditions(df: DataFrame, first: float | int, order: tuple[str, ...] = (TIME, ID),
+                    limit: int = RANKED_VALUES) -> tuple[Column, Column]:
+    """Tests for the first share (float) or number (int) of rows in ``order``, and for the rest.
 
-    The boundary row is found once (two small aggregates per order column); the condition
-    compares raw columns with its values, so it is pushed to the scan.
+    The boundary row is found once by counting; the tests compare raw columns with its values.
+    Each test bounds the leading column on its own, so that this part reaches the scan.
     """
     if isinstance(first, float):
         wanted = lambda n: F.floor(n * F.lit(first))
@@ -57,15 +57,15 @@ def rank_condition(df: DataFrame, first: Column | float, order: tuple[str, ...]
         wanted = lambda n: F.least(n, F.lit(first))
     known, _ = rank_boundary(df, order, wanted, limit=limit)
     if not known.rows:
-        return F.lit(False)
-    bound = known.rows[0]
-    kinds = dict(df.dtypes)
-    test = None
+        return F.lit(False), F.lit(True)
+    kinds, inside, outside = dict(df.dtypes), None, None
     for i, name in reversed(list(enumerate(order))):
-        value = _literal(bound[f"_b{i}"], kinds[name])
-        column = F.col(name)
-        test = column <= value if test is None else (column < value) | ((column == value) & test)
-    return test
+        column, value = F.col(name), _literal(known.rows[0][f"_b{i}"], kinds[name])
+        inside = (column <= value if inside is None
+                  else (column <= value) & ((column < value) | inside))
+        outside = (column > value if outside is None
+                   else (column >= value) & ((column > value) | outside))
+    return inside, outside
 
 
 def _literal(number: int, kind: str) -> Column:
@@ -77,14 +77,14 @@ def _literal(number: int, kind: str) -> Column:
 def split_by_rank(df: DataFrame, share: float = 0.8, order: tuple[str, ...] = (TIME, ID),
                   limit: int = RANKED_VALUES) -> tuple[DataFrame, DataFrame]:
     """The earliest ``floor(share * n)`` rows, and the rest; ties in time are cut by id."""
-    is_train = rank_condition(df, float(share), order, limit)
-    return df.filter(is_train), df.filter(~is_train)
+    inside, outside = rank_conditions(df, float(share), order, limit)
+    return df.filter(inside), df.filter(outside)
 
 
 def first_rows(df: DataFrame, n: int, order: tuple[str, ...] = (TIME, ID),
                limit: int = RANKED_VALUES) -> DataFrame:
     """Exactly the first ``n`` rows in ``order``, without sorting or gathering them."""
-    return df.filter(rank_condition(df, int(n), order, limit))
+    return df.filter(rank_conditions(df, int(n), order, limit)[0])
 
 
 def add_stratified_split(df: DataFrame, share: float = 0.8, label: str = TARGET, key: str = ID,

@@ -14,12 +14,12 @@ from thermolens.operators.correlation import class_association, correlation_matr
 from thermolens.operators.evaluate import classification_metrics
 from thermolens.operators.features import add_physical_features, coerce_numeric, parse_time
 from thermolens.operators.impute import GroupMedianImputer, GroupMedianModel
-from thermolens.operators.ml import (feature_pipeline, importance_table, predictions,
+from thermolens.operators.ml import (check_categories, feature_pipeline, importance_table, predictions,
                                      top_importances, tune_forest, tuning_table)
 from thermolens.operators.profile import group_summary
-from thermolens.operators.split import DEFAULT_CUTOFF, split_by_cutoff
-from thermolens.schema import (ENGINEERED, IMPUTED, PHYSICAL, TARGET, TIME, VECTOR_FEATURES)
-from thermolens.session import partition_count, persist, unpersist
+from thermolens.operators.split import DEFAULT_CUTOFF, bernoulli_sample, split_by_cutoff
+from thermolens.schema import (ENGINEERED, IMPUTED, PHYSICAL, TARGET, TIME, VECTOR_FEATURES, ZONE)
+from thermolens.session import partition_count, persist, persisted, spread_rows, unpersist
 from thermolens.sources.guards import require_columns
 from thermolens.sources.tables import (feature_metadata, read_table, write_csv, write_metadata,
                                        write_parquet)
@@ -72,11 +72,9 @@ def feature_job(spark: SparkSession, source: str | tuple[str, str], output: str,
 def pipeline_job(spark: SparkSession, train: DataFrame, output: str,
                  pipeline: Pipeline | None = None) -> PipelineModel:
     """Fit the feature pipeline on training rows; save it with its metadata."""
-    train = persist(train)
-    try:
-        model = (pipeline or feature_pipeline()).fit(train)
-    finally:
-        unpersist(train)
+    check_categories(train, ZONE)
+    with persisted(spread_rows(train)) as kept:
+        model = (pipeline or feature_pipeline()).fit(kept)
     model.write().overwrite().save(f"{output}/model")
     write_metadata(spark, feature_metadata(VECTOR_FEATURES, IMPUTED, ENGINEERED),
                    f"{output}/metadata")
@@ -96,12 +94,9 @@ def tuning_job(train: DataFrame, test: DataFrame, features: PipelineModel,
 
     ``share`` below 1 searches on a sample, for small machines only.
     """
-    data = persist(features.transform(train).select("features", "label"))
-    sample = data if share >= 1 else data.sample(fraction=share, seed=42)
-    try:
-        cv = tune_forest(sample)
-    finally:
-        unpersist(data)
+    vectors = features.transform(spread_rows(train)).select("features", "label")
+    with persisted(vectors if share >= 1 else bernoulli_sample(vectors, share)) as data:
+        cv = tune_forest(data)
     scored = predictions(cv.bestModel.transform(features.transform(test)))
     if output:
         cv.bestModel.write().overwrite().save(output)

@@ -5,49 +5,55 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermolens.operators.features import add_label_indicators
 from thermolens.schema import ENGINEERED, LABELS, TARGET
 
 
-def pairwise_correlation(a: str, b: str) -> Column:
-    """Correlation over the rows where both values exist; 0.0 where it is undefined."""
-    x, y = (f"CASE WHEN `{other}` IS NOT NULL THEN `{own}` END" for own, other in ((a, b), (b, a)))
-    return F.expr(f"coalesce(try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y})), 0D)")
+def pairwise_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(pair, r) by position in ``pairs``, over the rows where both values exist.
 
+    Each row is unfolded to one (x, y) per pair, which the map side folds into one partial
+    result per pair: three aggregates in generated code, however many pairs there are. A
+    correlation that is undefined (no common rows, or a constant) is 0.0.
+    """
+    cells = ", ".join(f"{i}, `{a}`, `{b}`" for i, (a, b) in enumerate(pairs))
+    long = df.select(F.expr(f"stack({len(pairs)}, {cells}) AS (pair, x, y)"))
+    x, y = "CASE WHEN y IS NOT NULL THEN x END", "CASE WHEN x IS NOT NULL THEN y END"
+    # The spreads are guarded by try_divide: plain corr() fails on a constant column.
+    return long.groupBy("pair").agg(F.expr(
+        f"coalesce(try_divide(covar_pop(x, y), stddev_pop({x}) * stddev_pop({y})), 0D)").alias("r"))
 
-def _wide(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
-    pairs = list(combinations_with_replacement(names, 2))
-    return df.agg(*[pairwise_correlation(a, b).alias(f"{a}|{b}") for a, b in pairs]), pairs
 
-
-def _correlated(df: DataFrame, features: Sequence[str], labels: Sequence[str],
-                target: str) -> DataFrame:
-    return add_label_indicators(df.select(*features, target), target, labels)
+def _with_indicators(df: DataFrame, features: Sequence[str], labels: Sequence[str],
+                     target: str) -> tuple[DataFrame, list[str]]:
+    made = add_label_indicators(df.select(*features, target), target, labels)
+    return made, [f"state_{label}" for label in labels]
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str] = ENGINEERED,
                        labels: Sequence[str] = LABELS, target: str = TARGET) -> DataFrame:
     """The full symmetric matrix of the features and one indicator per class, as (a, b, r)."""
-    names = [*features, *[f"state_{label}" for label in labels]]
-    wide, pairs = _wide(_correlated(df, features, labels, target), names)
-    both_ways = {(a, b): f"`{a}|{b}`" for a, b in pairs} | {(b, a): f"`{a}|{b}`" for a, b in pairs}
-    cells = ", ".join(f"'{a}', '{b}', {r}" for (a, b), r in both_ways.items())
-    return wide.select(F.expr(f"stack({len(both_ways)}, {cells}) AS (a, b, r)"))
+    made, states = _with_indicators(df, features, labels, target)
+    pairs = list(combinations_with_replacement([*features, *states], 2))
+    names = "array(" + ", ".join(f"array('{a}', '{b}')" for a, b in pairs) + ")"
+    both = pairwise_correlations(made, pairs).select(F.expr(f"{names}[pair]").alias("p"), "r")
+    mirrored = F.expr("CASE WHEN p[0] = p[1] THEN array(p) ELSE array(p, reverse(p)) END")
+    return both.select("r", F.explode(mirrored).alias("p")).select(
+        F.col("p")[0].alias("a"), F.col("p")[1].alias("b"), "r")
 
 
 def class_association(df: DataFrame, features: Sequence[str] = ENGINEERED,
                       labels: Sequence[str] = LABELS, target: str = TARGET) -> DataFrame:
     """Each feature's correlation with every class, strongest association first."""
-    correlated = _correlated(df, features, labels, target)
-    states = [f"state_{label}" for label in labels]
-    wide = correlated.agg(*[pairwise_correlation(f, s).alias(f"{f}|{s}")
-                            for f in features for s in states])
-    rows = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), *[F.col(f"`{f}|{s}`").alias(s) for s in states])
-        for f in features])))
+    made, states = _with_indicators(df, features, labels, target)
+    pairs = [(f, s) for f in features for s in states]
+    names = "array(" + ", ".join(f"array('{a}', '{b}')" for a, b in pairs) + ")"
+    found = pairwise_correlations(made, pairs).select(F.expr(f"{names}[pair]").alias("p"), "r")
+    wide = found.groupBy(F.col("p")[0].alias("feature")).agg(
+        *[F.max(F.when(F.col("p")[1] == s, F.col("r"))).alias(s) for s in states])
     strongest = F.greatest(*[F.abs(F.col(s)) for s in states])
-    return (rows.withColumn("max_abs_class_correlation", strongest)
+    return (wide.withColumn("max_abs_class_correlation", strongest)
             .orderBy(F.desc("max_abs_class_correlation"), "feature"))

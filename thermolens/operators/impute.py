@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from thermolens.functions.numeric import finite
 from thermolens.operators.features import add_physical_features
-from thermolens.operators.order_stats import RANKED_VALUES, exact_medians, widen
+from thermolens.operators.order_stats import RANKED_VALUES, exact_medians, is_small, widen
 from thermolens.schema import DELTA_INPUTS, IMPUTED, RATIO_INPUTS, ZONE
 from thermolens.session import keep, lookup_join
 from thermolens.sources.guards import raise_on_guard, require_columns
@@ -36,14 +36,11 @@ def global_medians(df: DataFrame, columns: Sequence[str] = IMPUTED, *, method: s
     clean = df.select(*[finite(c).alias(c) for c in columns])
     if method == "approx":
         return clean.agg(*[F.percentile_approx(c, 0.5).alias(c) for c in columns])
-    if clean.count() <= min(limit, SMALL_TABLE):
+    if is_small(clean.count(), limit):
         return clean.agg(*[F.median(c).alias(c) for c in columns])
     return widen(exact_medians(clean, [], columns, limit), [], columns)
 
 
-# Up to this many rows in all, no group can make the value map of ``median`` too large.
-SMALL_TABLE = 5_000_000
-
 
 class _MedianParams(Params):
     groupCol = Param(Params._dummy(), "groupCol", "column with the group key",
@@ -108,7 +105,7 @@ class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, Defaul
         """Wide medians per group, and for all rows, each with its row count ``n``."""
         method = self.getOrDefault(self.method)
         limit = self.getOrDefault(self.rankedValues)
-        if method == "approx" or rows <= min(limit, SMALL_TABLE):
+        if method == "approx" or is_small(rows, limit):
             middle = (lambda c: F.percentile_approx(c, 0.5)) if method == "approx" else F.median
             picked = [*[middle(c).alias(c) for c in columns], F.count(F.lit(1)).alias("n")]
             return clean.groupBy(key).agg(*picked), clean.agg(*picked)

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from thermolens.functions.labels import micros
 from thermolens.session import Kept, keep, lookup_join, materialise
 
-RANKED_VALUES = 1_000_000
+RANKED_VALUES = 200_000
 CELLS = 1024
+# Up to this many rows in all, no group can make the value map of ``median`` too large.
+SMALL_TABLE = 5_000_000
 
 RankRule = Callable[[Column], Sequence[Column]]
 
@@ -30,6 +32,11 @@ def middle_ranks(n: Column) -> Sequence[Column]:
     return F.floor((n - 1) / 2), F.floor(n / 2)
 
 
+def is_small(rows: int, limit: int = RANKED_VALUES) -> bool:
+    """Whether ``median`` may hold the values; a lowered limit lowers this bound too."""
+    return rows <= (SMALL_TABLE if limit >= RANKED_VALUES else limit)
+
+
 def value_counts(obs: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return obs.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
 
@@ -70,7 +77,7 @@ def select_ranks(obs: DataFrame, keys: Sequence[str], value: str, ranks: RankRul
     :func:`rank_counted` for the columns returned.
     """
     keys = list(keys)
-    sizes = group_sizes(obs, keys, value)
+    sizes = materialise(group_sizes(obs, keys, value))
     widest = sizes.agg(F.max("_d")).first()[0] or 0
     if widest <= limit:
         return rank_counted(value_counts(obs, keys, value), keys, value, ranks)
@@ -79,58 +86,65 @@ def select_ranks(obs: DataFrame, keys: Sequence[str], value: str, ranks: RankRul
 
 def _select_by_narrowing(obs: DataFrame, keys: list[str], value: str, ranks: RankRule,
                          sizes: DataFrame, limit: int, cells: int) -> DataFrame:
+    """One target per group - a range of ranks between two bounds - narrowed until it is small.
+
+    A group has a second target only while its two middle ranks lie in different cells.
+    """
     first, last = ranks(F.col("_n"))
-    targets = F.array_distinct(F.array(first.cast("bigint"), last.cast("bigint")))
     bounds = materialise(sizes.select(
         *keys, "_n", "_lo", "_hi", "_d", F.lit(0).cast("bigint").alias("_below"),
-        F.explode(targets).alias("_rank")))
+        first.cast("bigint").alias("_first"), last.cast("bigint").alias("_last")))
     while True:
-        state = bounds.agg(F.max("_d"), F.count(F.lit(1))).first()
-        widest, rows = state[0] or 0, state[1]
+        widest, rows = bounds.agg(F.coalesce(F.max("_d"), F.lit(0)), F.count(F.lit(1))).first()
         if widest <= limit:
             break
         wide = bounds.filter(F.col("_d") > limit)
         bounds = materialise(bounds.filter(F.col("_d") <= limit).unionByName(
             _narrow(obs, keys, value, wide, rows, cells)))
 
-    inside = _inside(obs, keys, value, bounds, rows)
-    counted = inside.groupBy(*keys, "_rank", value).agg(
+    target = [*keys, "_first", "_last"]
+    counted = _inside(obs, keys, value, bounds, rows).groupBy(*target, value).agg(
         F.count(F.lit(1)).alias("_c"), F.max("_below").alias("_below"), F.max("_n").alias("_n"))
-    window = Window.partitionBy(*keys, "_rank").orderBy(value)
-    end = F.col("_below") + F.sum("_c").over(
-        window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    hit = (counted.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c"))
-           .filter((F.col("_start") <= F.col("_rank")) & (F.col("_end") > F.col("_rank"))))
+    hit = _hits(counted, target, value)
     return hit.groupBy(*keys).agg(
         F.max("_n").alias("n"), F.min(value).alias("low"), F.max(value).alias("high"),
-        F.min("_start").alias("below"), F.min_by(F.col("_end") - F.col("_start"), value)
-        .alias("equal"))
+        F.min("_start").alias("below"), F.min_by("_c", value).alias("equal"))
+
+
+def _hits(counted: DataFrame, target: list[str], order: str) -> DataFrame:
+    """Those counted values (or cells) of each target that hold one of its ranks."""
+    window = (Window.partitionBy(*target).orderBy(order)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ended = counted.withColumn("_end", F.col("_below") + F.sum("_c").over(window))
+    return ended.withColumn("_start", F.col("_end") - F.col("_c")).filter(
+        (F.col("_start") <= F.col("_last")) & (F.col("_end") > F.col("_first")))
 
 
 def _inside(obs: DataFrame, keys: list[str], value: str, bounds: DataFrame, rows: int) -> DataFrame:
-    """Observations between the bounds of a wanted rank (two ranks of a group may both match)."""
+    """Observations between the bounds of a target of their group."""
     joined = lookup_join(obs, bounds, keys, rows, how="inner", weight="_n")
     return joined.filter(F.col(value).between(F.col("_lo"), F.col("_hi")))
 
 
 def _narrow(obs: DataFrame, keys: list[str], value: str, wide: DataFrame, rows: int,
             cells: int) -> DataFrame:
-    """Replace the bounds of each wanted rank by those of the cell that contains it."""
-    width = (F.col("_hi").cast("double") - F.col("_lo").cast("double")) / F.lit(float(cells))
-    offset = F.col(value).cast("double") - F.col("_lo").cast("double")
-    cell = F.least(F.lit(cells - 1), F.floor(offset / width).cast("int"))
+    """Replace the bounds of each target by those of the cell, or two cells, with its ranks."""
+    low, high = (F.col(c).cast("double") for c in ("_lo", "_hi"))
+    # Halves keep the range finite even between the largest negative and positive doubles.
+    width = (high / 2 - low / 2) / F.lit(cells / 2)
+    offset = F.col(value).cast("double") / 2 - low / 2
+    cell = F.least(F.lit(cells - 1), F.floor(offset / (width / 2)).cast("int"))
+    target = [*keys, "_first", "_last"]
     counted = (_inside(obs, keys, value, wide, rows)
-               .groupBy(*keys, "_rank", cell.alias("_cell"))
+               .groupBy(*target, cell.alias("_cell"))
                .agg(F.count(F.lit(1)).alias("_c"), F.min(value).alias("_clo"),
                     F.max(value).alias("_chi"), F.approx_count_distinct(value).alias("_cd"),
                     F.max("_below").alias("_below"), F.max("_n").alias("_n")))
-    window = Window.partitionBy(*keys, "_rank").orderBy("_cell")
-    end = F.col("_below") + F.sum("_c").over(
-        window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (counted.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c"))
-            .filter((F.col("_start") <= F.col("_rank")) & (F.col("_end") > F.col("_rank")))
-            .select(*keys, "_n", F.col("_clo").alias("_lo"), F.col("_chi").alias("_hi"),
-                    F.col("_cd").alias("_d"), F.col("_start").alias("_below"), "_rank"))
+    return _hits(counted, target, "_cell").select(
+        *keys, "_n", F.col("_clo").alias("_lo"), F.col("_chi").alias("_hi"),
+        F.col("_cd").alias("_d"), F.col("_start").alias("_below"),
+        F.greatest("_first", "_start").alias("_first"),
+        F.least(F.col("_last"), F.col("_end") - 1).alias("_last"))
 
 
 # --- medians -----------------------------------------------------------------------------------

@@ -193,8 +193,8 @@ CHECKS: dict[str, str] = {
         f"CAST({i} AS INT) AS position, '{c}' AS feature, {str(c in IMPUTED).lower()} AS imputed, "
         f"{str(c in ENGINEERED).lower()} AS engineered, round(s_{c}, 6) AS scale"
         for i, c in enumerate(VECTOR_FEATURES)], STATS),
-    "coerce_to_schema": _schema_checks(),
-    "guard_counts": f"{TRAIN} SELECT count(*) AS n_rows, "
+    "coerce_schema": _schema_checks(),
+    "guard_report": f"{TRAIN} SELECT count(*) AS n_rows, "
                     "count(*) FILTER (WHERE building_zone IS NULL) AS null_keys, "
                     + ", ".join(f"count({c}) AS observed_{c}" for c in IMPUTED) + " FROM train",
     "coerce_numeric": _coerce_checks(),
@@ -256,7 +256,7 @@ CHECKS: dict[str, str] = {
     "hash_split": f"{READINGS} SELECT reading_id, CASE WHEN {BUCKET} < 8000 THEN 'train' "
                   "ELSE 'test' END AS split FROM readings",
     "group_median_impute": f"{FILLED} SELECT reading_id, {pick(IMPUTED)} FROM filled",
-    "fit_train_apply_test_rows": f"{FILLED} SELECT reading_id, "
+    "fit_train_apply_test": f"{FILLED} SELECT reading_id, "
                                  f"{pick((*IMPUTED, *ENGINEERED), RATIO_DIGITS)} "
                                  f"FROM feat WHERE NOT ({BEFORE})",
     "zone_dimension": f"{READINGS}, b AS (SELECT DISTINCT {BUILDING} AS building FROM readings), "
@@ -292,7 +292,7 @@ CHECKS: dict[str, str] = {
                     "GROUP BY building_zone",
     "label_index_counts": f"{READINGS} SELECT label, n FROM ({frequency_index()})",
     "column_average": f"{READINGS} SELECT {r('avg(indoor_temp_c)', 'avg_indoor_temp_c')} FROM readings",
-    "correlation_matrix_long": _stacked("f", [
+    "correlation_matrix": _stacked("f", [
         f"'{a}' AS a, '{b}' AS b, {r(corr(a, b), 'r')}" for a in CORR_NAMES for b in CORR_NAMES],
         CORR_INPUT),
     "feature_class_association": CORR_INPUT + ", c AS (" + " UNION ALL ".join(

@@ -41,6 +41,14 @@ def query(function: Query) -> Query:
     return function
 
 
+def query_named(name: str) -> Callable[[Query], Query]:
+    """For queries whose name is taken by the operator they call."""
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+    return register
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column."""
     return df.select(*[
@@ -95,7 +103,7 @@ def feature_metadata(spark, folder):
         rows, "position int, feature string, imputed boolean, engineered boolean, scale double"))
 
 
-@query
+@query_named("coerce_schema")
 def coerce_to_schema(spark, folder):
     text = load_readings(spark, folder).select(
         ID, *[F.col(c).cast("string").alias(c) for c in SCORING_SCHEMA.fieldNames()
@@ -106,7 +114,7 @@ def coerce_to_schema(spark, folder):
     return rounded(coerce_schema(text, schema))
 
 
-@query
+@query_named("guard_report")
 def guard_counts(spark, folder):
     return guard_report(_train(spark, folder), ZONE, IMPUTED)
 
@@ -261,7 +269,7 @@ def group_median_impute(spark, folder):
     return rounded(model.transform(load_readings(spark, folder)).select(ID, *IMPUTED))
 
 
-@query
+@query_named("fit_train_apply_test")
 def fit_train_apply_test_rows(spark, folder):
     fitted = fit_train_apply_test(load_readings(spark, folder), CUTOFF)
     return rounded(fitted.test.select(ID, *IMPUTED, *ENGINEERED), RATIO_DIGITS)
@@ -342,7 +350,7 @@ def _train_features(spark, folder):
     return features.add_physical_features(_train(spark, folder))
 
 
-@query
+@query_named("correlation_matrix")
 def correlation_matrix_long(spark, folder):
     return rounded(correlation_matrix(_train_features(spark, folder)))
 

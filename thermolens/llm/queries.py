@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermolens.llm import exact
+from thermolens.llm import bpe, exact, language, pack, quality, toxicity, urls
 
+TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -19,6 +21,56 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.fresh_index(spark).dedup(table(spark, folder, "documents"))
 
 
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    encoded = bpe.encode(table(spark, folder, "documents"), path)
+    return bpe.decode(encoded, path).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.cascade(table(spark, folder, "documents"), measure_all=True)
+    return judged.select("doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+#: allow or block, host, path
+URL_RULES = [
+    urls.Rule("allow", "com", "/"), urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"), urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/")]
+
+
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn(
+        "held_out", F.coalesce(toxicity.fold("doc_id", 4) == 2, F.lit(False)))
+    langs, prototypes = language.learn(docs.filter(~F.col("held_out")))
+    return language.predict(docs, langs, prototypes).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    machine = toxicity.train(docs, table(spark, folder, "labels"))
+    return toxicity.score(docs, machine).select(
+        "doc_id", F.coalesce(toxicity.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_bpe": op2_bpe,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_packing": op4_packing,
+    "op5_url_filters": op5_url_filters,
+    "op7_language_id": op7_language_id,
+    "op10_toxicity": op10_toxicity,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermolens.llm import bpe, exact, language, pack, quality, toxicity, urls
+from thermolens.llm import bpe, exact, language, near, pack, quality, toxicity, urls
 
 TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,11 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents")).select(
+        "doc_id", "class_id", "copy_id", "n_links")
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     machine = toxicity.train(docs, table(spark, folder, "labels"))
@@ -72,5 +77,6 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_url_filters": op5_url_filters,
     "op7_language_id": op7_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }

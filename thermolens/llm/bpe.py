@@ -1,4 +1,4 @@
-"""BPE encoding and decoding over a table of distinct words."""
+"""BPE encoding and decoding: each distinct word is encoded once."""
 
 from __future__ import annotations
 
@@ -10,11 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from thermolens.llm.common import partitions, settle, whole_text, with_row
+from thermolens.llm.common import partitions, whole_text, with_row
+from thermolens.llm.shingles import hash_runs, words_of
 from thermolens.llm.tokens import encoder
 
-#: Longest word, in bytes, that may be broadcast.
+#: Longest word, in bytes, of the broadcast table.
 HOT_BYTES = 64
+#: Words and parts of words that a task remembers besides.
+MEMORY = 1 << 16
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -33,40 +36,87 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows(counts)
 
 
-def distinct_words(docs: DataFrame) -> DataFrame:
-    """word (UTF-8) and n, its number of occurrences, summed per task before the shuffle."""
-    counted = docs.select(whole_text().alias("text")).mapInArrow(
-        _count_words, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
-
-
-def encode_words(words: DataFrame, path: str) -> DataFrame:
-    """The word table with the ids of each word, encoded once: packed 32-bit integers."""
+def _encode_words(path: str):
+    """Adds ``ids`` to sorted words; equal words stand together, and are encoded once."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe, last, ids = encoder(path, MEMORY), None, b""
         for batch in batches:
-            ids = [bpe.ids(bpe.word(w.as_py())).astype("<u4").tobytes() for w in batch["word"]]
+            out = []
+            for word in batch["word"].to_pylist():
+                if word != last:
+                    last, ids = word, bpe.ids(bpe.word(word)).astype("<u4").tobytes()
+                out.append(ids)
+            rest = [c for c in batch.schema.names if c != "word"]
             yield pa.RecordBatch.from_arrays(
-                [batch["word"], batch["n"], pa.array(ids, pa.binary())], ["word", "n", "ids"])
-
-    return words.mapInArrow(encode, "word binary, n long, ids binary")
-
-
-def _hot(words: DataFrame, limit: int) -> list[tuple[bytes, bytes]]:
-    """The most frequent short words and their ids: at most ``limit``, most frequent first."""
-    level = F.floor(F.log2("n") * 16).cast("int")
-    short = words.filter(F.octet_length("word") <= HOT_BYTES).withColumn("level", level)
+                [*(batch[c] for c in rest), pa.array(out, pa.binary())], [*rest, "ids"])
+
+    return encode
+
+
+class HotWords:
+    """A bounded table of frequent words, by two hashes, with their ids in order of rank."""
+
+    def __init__(self, words: list[bytes], ids: list[bytes]) -> None:
+        raw = np.frombuffer(b" ".join(words), np.uint8)
+        runs = words_of(raw)
+        first, second = hash_runs(raw, *runs), hash_runs(raw, *runs, kind=1)
+        order = np.argsort(first)
+        self.first, self.second = first[order], second[order]
+        self.rank = order.astype(np.int32) + 1
+        self.sizes = np.array([0, *(len(x) // 4 for x in ids)], np.int32)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.ids = np.frombuffer(b"".join(ids), "<u4")
+
+    def codes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The rank of each word, counted from 1, or 0."""
+        if not self.first.size:
+            return np.zeros(starts.size, np.int64)
+        first = hash_runs(raw, starts, ends)
+        at = np.minimum(np.searchsorted(self.first, first), self.first.size - 1)
+        same = (self.first[at] == first) & (
+            self.second[at] == hash_runs(raw, starts, ends, kind=1))
+        return np.where(same, self.rank[at], 0).astype(np.int64)
+
+    def fill(self, codes: np.ndarray, found: list[bytes]) -> bytes:
+        """The ids of a text; words without rank take theirs from ``found``, in order."""
+        gaps = np.flatnonzero(codes == 0)
+        sizes = self.sizes[codes].astype(np.int64)
+        sizes[gaps] = [len(x) // 4 for x in found]
+        place = np.cumsum(sizes) - sizes
+        starts = self.starts[codes] - place
+        starts[gaps] = -place[gaps]  # read somewhere, written over below
+        out = self.ids[np.maximum(0, np.minimum(
+            np.repeat(starts, sizes) + np.arange(sizes.sum()), self.ids.size - 1))] \
+            if self.ids.size else np.zeros(int(sizes.sum()), "<u4")
+        for gap, ids in zip(gaps.tolist(), found):
+            out[place[gap]:place[gap] + sizes[gap]] = np.frombuffer(ids, "<u4")
+        return out.tobytes()
+
+
+def hot_words(docs: DataFrame, path: str, limit: int, sample: int) -> HotWords:
+    """The most frequent words of about ``sample`` documents, at most ``limit`` of them, and none
+    over HOT_BYTES bytes. Which they are decides how texts travel, not the result."""
+    share = min(1.0, sample / max(docs.count(), 1))
+    text = whole_text()
+    counted = (docs.select(text.alias("text"))
+               .filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+               .mapInArrow(_count_words, "word binary, n long")
+               .filter(F.octet_length("word") <= HOT_BYTES)
+               .groupBy("word").agg(F.sum("n").alias("n")).persist())
+    words = counted.withColumn("level", F.floor(F.log2("n") * 16).cast("int"))
     lowest, total = None, 0
-    for row in sorted(short.groupBy("level").count().collect(), reverse=True):
+    for row in sorted(words.groupBy("level").count().collect(), reverse=True):
         total += row["count"]
         if total > limit:
             break
         lowest = row["level"]
     if lowest is None:
-        return []
-    found = short.filter(F.col("level") >= lowest).select("word", "n", "ids").toArrow()
-    found = found.sort_by([("n", "descending"), ("word", "ascending")])
-    return list(zip(found["word"].to_pylist(), found["ids"].to_pylist()))
+        return HotWords([], [])
+    found = (words.filter(F.col("level") >= lowest).select("word", F.col("word").alias("w"), "n")
+             .mapInArrow(_encode_words(path), "w binary, n long, ids binary").toArrow())
+    counted.unpersist()
+    found = found.sort_by([("n", "descending"), ("w", "ascending")])
+    return HotWords(found["w"].to_pylist(), found["ids"].to_pylist())
 
 
 def _varint(codes: np.ndarray) -> bytes:
@@ -90,49 +140,43 @@ def _from_varint(packed: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127) << 7 * shift, starts)
 
 
-def encode(docs: DataFrame, path: str, hot_words: int = 1 << 20) -> DataFrame:
+def encode(docs: DataFrame, path: str, limit: int = 1 << 20, sample: int = 50_000) -> DataFrame:
     """Ids of every whole text: doc_id and ids (packed little-endian unsigned 32-bit integers).
 
     Words are split in Spark, each distinct word is encoded once, and ids are joined back by
-    position. A text travels as one number per word: the rank of a word among the ``hot_words``
-    most frequent ones of at most HOT_BYTES bytes, whose table is broadcast, or 0 for any other
-    word, whose ids come through a shuffled join with the word table and fill the gaps in order.
+    position. The table of distinct words has two parts. Its frequent part (``hot_words``, taken
+    from a bounded sample) is broadcast, and a text travels as one number per word, the word's
+    rank there. Every other word is shuffled to where all its occurrences meet, encoded there
+    once, and sent to its text and position, where ids fill the gaps in order.
 
     Null and empty texts have no ids; repeated rows give repeated results; other columns are not
     read. ``docs`` must be a repeatable scan, as it is read three times.
     """
-    spark = docs.sparkSession
-    words = settle(encode_words(distinct_words(docs), path), "words")
-    hot = _hot(words, hot_words)
-    hot_table = spark.sparkContext.broadcast([w for w, _ in hot])
-    hot_ids = spark.sparkContext.broadcast([b"", *(ids for _, ids in hot)])
+    parts = partitions(docs.sparkSession)
+    table = docs.sparkSession.sparkContext.broadcast(hot_words(docs, path, limit, sample))
     numbered = with_row(docs.select("doc_id", whole_text().alias("text")), "doc_id", "text")
 
-    def codes_of(batch: pa.RecordBatch, rank: dict[bytes, int]) -> Iterator[tuple]:
-        for row, text in zip(batch["row"], batch["text"]):
-            split = text.as_py().encode().split()
-            yield row.as_py(), split, np.array([rank.get(w, 0) for w in split], np.int64)
-
-    def ranks() -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(hot_table.value, 1)}
-
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = ranks()
         for batch in batches:
-            packed = [_varint(codes) for _, _, codes in codes_of(batch, rank)]
+            packed = []
+            for text in batch["text"]:
+                raw = np.frombuffer(text.as_py().encode(), np.uint8)
+                packed.append(_varint(table.value.codes(raw, *words_of(raw))))
             yield pa.RecordBatch.from_arrays(
                 [batch["row"], pa.array([-1] * len(packed), pa.int32()), batch["doc_id"],
                  pa.array(packed, pa.binary())], ["row", "pos", "doc_id", "ids"])
 
     def gaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = ranks()
         for batch in batches:
             rows, places, missing = [], [], []
-            for row, split, codes in codes_of(batch, rank):
-                at = np.flatnonzero(codes == 0)
+            for row, text in zip(batch["row"].to_pylist(), batch["text"]):
+                encoded = text.as_py().encode()
+                raw = np.frombuffer(encoded, np.uint8)
+                starts, ends = words_of(raw)
+                at = np.flatnonzero(table.value.codes(raw, starts, ends) == 0)
                 rows.append(np.full(at.size, row))
                 places.append(at)
-                missing += [split[i] for i in at]
+                missing += [encoded[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())]
             if missing:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(rows)),
@@ -140,35 +184,33 @@ def encode(docs: DataFrame, path: str, hot_words: int = 1 << 20) -> DataFrame:
                      pa.array(missing, pa.binary())], ["row", "pos", "word"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, doc, codes, found = hot_ids.value, None, None, []
+        doc, codes, found = None, None, []
 
-        def done() -> tuple:
-            rest = iter(found)
-            return doc, b"".join([table[c] if c else next(rest) for c in codes.tolist()])
+        def out(made: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in made], pa.int64()),
+                 pa.array([x[1] for x in made], pa.binary())], ["doc_id", "ids"])
 
         for batch in batches:
-            out = []
+            made = []
             for pos, doc_id, ids in zip(batch["pos"].to_pylist(), batch["doc_id"].to_pylist(),
                                         batch["ids"]):
                 if pos >= 0:
                     found.append(ids.as_py())
                     continue
                 if codes is not None:
-                    out.append(done())
+                    made.append((doc, table.value.fill(codes, found)))
                 doc, codes, found = doc_id, _from_varint(ids.as_py()), []
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()),
-                 pa.array([x[1] for x in out], pa.binary())], ["doc_id", "ids"])
+            yield out(made)
         if codes is not None:
-            doc, ids = done()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([doc], pa.int64()), pa.array([ids], pa.binary())], ["doc_id", "ids"])
+            yield out([(doc, table.value.fill(codes, found))])
 
     texts = numbered.mapInArrow(sequences, "row long, pos int, doc_id long, ids binary")
     filled = (numbered.select("row", "text").mapInArrow(gaps, "row long, pos int, word binary")
-              .join(words.select("word", "ids"), "word")
+              .repartition(parts, "word").sortWithinPartitions("word")
+              .mapInArrow(_encode_words(path), "row long, pos int, ids binary")
               .select("row", "pos", F.lit(None).cast("long").alias("doc_id"), "ids"))
-    return (texts.unionByName(filled).repartition(partitions(spark), "row")
+    return (texts.unionByName(filled).repartition(parts, "row")
             .sortWithinPartitions("row", "pos").mapInArrow(fill, "doc_id long, ids binary"))
 
 

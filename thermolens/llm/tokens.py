@@ -74,11 +74,11 @@ class WordBpe:
         return np.frombuffer(packed, self.dtype)
 
 
-_LOADED: dict[str, WordBpe] = {}
+_LOADED: dict[tuple[str, int], WordBpe] = {}
 
 
-def encoder(path: str) -> WordBpe:
+def encoder(path: str, remember: int = 1 << 20) -> WordBpe:
     """This Python worker's encoder, loaded once."""
-    if path not in _LOADED:
-        _LOADED[path] = WordBpe(path)
-    return _LOADED[path]
+    if (path, remember) not in _LOADED:
+        _LOADED[path, remember] = WordBpe(path, remember)
+    return _LOADED[path, remember]

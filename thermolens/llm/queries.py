@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermolens.llm import bpe, exact, language, near, pack, quality, toxicity, urls
+from thermolens.llm import bpe, exact, language, near, pack, quality, suffix, toxicity, urls
 
 TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,13 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents")).select(
         "doc_id", "class_id", "copy_id", "n_links")
@@ -77,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op4_packing": op4_packing,
     "op5_url_filters": op5_url_filters,
     "op7_language_id": op7_language_id,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }

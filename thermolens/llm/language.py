@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -129,7 +130,7 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFr
     """All columns of ``docs``, lang_pred and score, the cosine with the nearest prototype (0 to 1).
 
     Only whole texts are read. A text that is null or has no letter, or any text when nothing was
-    learned, is ``und`` with score 0. Of equal cosines the language first in order is taken.
+    learned, is ``und`` with score 0; columns of these names are replaced. Of equal cosines the language first in order is taken.
     """
     model = docs.sparkSession.sparkContext.broadcast((langs, prototypes.astype(np.float32)))
 
@@ -150,5 +151,7 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFr
                     score.append(float(np.clip(row.max(), 0, 1)) if known else 0.0)
             yield pd.DataFrame({"lang": lang, "score": score})
 
-    told = docs.withColumn("told", nearest(F.col("text").cast("string")))
-    return told.select("*", F.col("told.lang").alias("lang_pred"), "told.score").drop("told")
+    mark = f"told_{uuid.uuid4().hex}"
+    told = docs.withColumn(mark, nearest(F.col("text").cast("string")))
+    return told.withColumns({"lang_pred": F.col(f"{mark}.lang"),
+                             "score": F.col(f"{mark}.score")}).drop(mark)

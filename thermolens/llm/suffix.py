@@ -8,6 +8,7 @@ first GRAM bytes, which brings equal ones together as an order by content would.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -361,8 +362,8 @@ def _remove(raw: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"kept": kept, "n_removed": removed, "n_spans": number})
 
 
-def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
-    """All columns of ``docs`` and ``cut``: kept (the remaining bytes), n_removed, n_spans (maximal
+def remove_repeats(docs: DataFrame, batches: int = 2, name: str = "cut") -> DataFrame:
+    """All columns of ``docs`` and a struct ``name``: kept (the remaining bytes), n_removed, n_spans (maximal
     removed stretches) of each text.
 
     A byte goes if it lies in a string of LENGTH bytes that also starts elsewhere, in another or
@@ -370,20 +371,42 @@ def remove_repeats(docs: DataFrame, batches: int = 2) -> DataFrame:
     not by what is left, and matches never cross documents. Strings are compared by 64-bit hashes.
 
     A null text counts as empty, and texts under LENGTH bytes lose nothing; repeated rows are
-    copies of each other; an empty table gives no rows; other columns pass through, and ``docs``
-    may have any names but ``cut``. ``docs`` must be a repeatable scan, as it is read several
-    times.
+    copies of each other; an empty table gives no rows; other columns pass through, and one called
+    ``name`` is replaced. ``docs`` must be a repeatable scan, as it is read several times.
     """
     numbered = with_row(docs.select(whole_text().alias("text")), "text")
     spans = repeated_spans(numbered, batches).groupBy("row").agg(
         F.collect_list(F.array("start", "end")).alias("spans"))
-    mark = "_suffix_row"
+    mark, found = f"row_{uuid.uuid4().hex}", f"spans_{uuid.uuid4().hex}"
     told = docs.withColumn(mark, F.monotonically_increasing_id()).join(
-        spans.select(F.col("row").alias(mark), F.flatten("spans").alias("_suffix_spans")),
+        spans.select(F.col("row").alias(mark), F.flatten("spans").alias(found)),
         mark, "left")
     raw = whole_text().cast("binary")
     remove = F.pandas_udf(_remove, "kept binary, n_removed long, n_spans long")
-    told = told.withColumn("cut", remove(raw, F.col("_suffix_spans")))
-    return told.withColumn("cut", F.struct(
-        F.coalesce(F.col("cut.kept"), raw).alias("kept"), F.col("cut.n_removed"),
-        F.col("cut.n_spans"))).drop(mark, "_suffix_spans")
+    told = told.withColumn(name, remove(raw, F.col(found)))
+    return told.withColumn(name, F.struct(
+        F.coalesce(F.col(f"{name}.kept"), raw).alias("kept"), F.col(f"{name}.n_removed"),
+        F.col(f"{name}.n_spans"))).drop(mark, found)
+
+
+def cut_texts(docs: DataFrame, batches: int = 2) -> DataFrame:
+    """``docs`` with shortened texts and, if there is such a column, their n_chars.
+
+    Where a removed stretch ends within a character, the rest of the character goes too. Texts that
+    lose nothing, nulls among them, stay as they are; none of the rows is dropped.
+    """
+    @F.pandas_udf("string")
+    def decoded(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda b: None if b is None else b.decode(errors="ignore"))
+
+    cut = f"cut_{uuid.uuid4().hex}"
+    told = remove_repeats(docs, batches, cut)
+    changed = F.col(f"{cut}.n_removed") > 0
+    text = F.when(changed, decoded(F.when(changed, F.col(f"{cut}.kept")))).otherwise(
+        F.col("text").cast("string"))
+    told = told.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        told = told.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(
+            F.col("n_chars")))
+    return told.select(*docs.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -168,3 +169,9 @@ def score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
             yield pd.Series([model.value.score(terms_of(t, known)) for t in texts], dtype=float)
 
     return docs.withColumn(name, scores(whole_text()))
+
+
+def drop_toxic(docs: DataFrame, machine: Machine, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``least``, with all their columns."""
+    name = f"score_{uuid.uuid4().hex}"
+    return score(docs, machine, name).filter(F.col(name) < least).drop(name)

@@ -108,8 +108,8 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1) -> Dat
     rows = settle(encoded(docs, path, end_id), "encoded")
     ranges = partitions(spark)
     shares = [i / ranges for i in range(1, ranges)]
-    bounds = np.array(rows.agg(F.percentile_approx("key", shares, 10_000)).first()[0]
-                      if shares else [], np.int64)
+    cuts = rows.agg(F.percentile_approx("key", shares or [0.5], 10_000)).first()[0]
+    bounds = np.array(cuts if shares and cuts else [], np.int64)
 
     @F.pandas_udf("int")
     def range_of(key: pd.Series) -> pd.Series:

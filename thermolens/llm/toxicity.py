@@ -18,6 +18,7 @@ from thermolens.llm.common import whole_text
 WORD = re.compile(r"[^\W\d_]+")
 SPACE = 1 << 20
 MEMORY = 400_000
+FACTORS = 8
 
 
 def terms_of(text: str, known: dict[str, tuple[int, ...]]) -> np.ndarray:
@@ -57,7 +58,7 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(y, -30, 30))))
 
 
-def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = 8, epochs: int = 6,
+def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = 6,
         rate: float = 0.1, penalty: float = 1e-4, least: int = 3, seed: int = 5) -> Machine:
     """Logistic loss, minibatches, AdaGrad. Terms in fewer than ``least`` documents are left out."""
     every = np.concatenate([*documents, np.empty(0, np.int32)])
@@ -135,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int | None = 0, folds: i
         rows.sort(key=lambda r: (r["doc_id"], r["terms"]))
         m = fit([np.frombuffer(r["terms"], np.int32) for r in rows],
                 np.array([r["toxic"] for r in rows], float)) if rows else Machine(
-            np.empty(0, np.int32), 0.0, np.empty(0), np.empty((0, 8)))
+            np.empty(0, np.int32), 0.0, np.empty(0), np.empty((0, FACTORS)))
         parts = (m.terms.astype(np.int32), np.float64(m.bias), m.linear, m.factors)
         yield pa.RecordBatch.from_arrays(
             [pa.array([p.tobytes()], pa.binary()) for p in parts], list("tblf"))
@@ -147,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int | None = 0, folds: i
              .mapInArrow(learn, "t binary, b binary, l binary, f binary").first())
     terms, linear = np.frombuffer(model.t, np.int32), np.frombuffer(model.l)
     return Machine(terms, float(np.frombuffer(model.b)[0]), linear,
-                   np.frombuffer(model.f).reshape(terms.size, -1))
+                   np.frombuffer(model.f).reshape(terms.size, FACTORS))
 
 
 def fold(column: str, folds: int):

@@ -1,8 +1,9 @@
-"""Pearson correlations of many columns in one aggregate."""
+"""Pearson correlations of many columns in a few aggregates."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame
@@ -12,19 +13,28 @@ from thermolens.operators.features import add_label_indicators
 from thermolens.schema import ENGINEERED, LABELS, TARGET
 
 
+#: Pairs of one aggregate: more would make its generated code too large to compile.
+AT_ONCE = 12
+
+
 def pairwise_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """(pair, r) by position in ``pairs``, over the rows where both values exist.
 
-    Each row is unfolded to one (x, y) per pair, which the map side folds into one partial
-    result per pair: three aggregates in generated code, however many pairs there are. A
-    correlation that is undefined (no common rows, or a constant) is 0.0.
+    One row per group of AT_ONCE pairs is aggregated, from sums that skip a row where either value
+    is null; then pairs are unfolded. A correlation that is undefined (no common rows, or a
+    constant) is 0.0.
     """
-    cells = ", ".join(f"{i}, `{a}`, `{b}`" for i, (a, b) in enumerate(pairs))
-    long = df.select(F.expr(f"stack({len(pairs)}, {cells}) AS (pair, x, y)"))
-    x, y = "CASE WHEN y IS NOT NULL THEN x END", "CASE WHEN x IS NOT NULL THEN y END"
-    # The spreads are guarded by try_divide: plain corr() fails on a constant column.
-    return long.groupBy("pair").agg(F.expr(
-        f"coalesce(try_divide(covar_pop(x, y), stddev_pop({x}) * stddev_pop({y})), 0D)").alias("r"))
+    parts = []
+    for k in range(0, len(pairs), AT_ONCE):
+        group = list(enumerate(pairs))[k:k + AT_ONCE]
+        sums = df.agg(*[made for i, (a, b) in group for made in (
+            F.regr_sxy(a, b).alias(f"xy{i}"), F.regr_sxx(a, b).alias(f"xx{i}"),
+            F.regr_syy(a, b).alias(f"yy{i}"))])
+        parts.append(sums.select(F.inline(F.array(*[F.struct(
+            F.lit(i).alias("pair"), F.coalesce(F.try_divide(
+                F.col(f"xy{i}"), F.sqrt(f"xx{i}") * F.sqrt(f"yy{i}")), F.lit(0.0)).alias("r"))
+            for i, _ in group]))))
+    return reduce(DataFrame.union, parts)
 
 
 def _with_indicators(df: DataFrame, features: Sequence[str], labels: Sequence[str],
@@ -45,15 +55,19 @@ def correlation_matrix(df: DataFrame, features: Sequence[str] = ENGINEERED,
         F.col("p")[0].alias("a"), F.col("p")[1].alias("b"), "r")
 
 
-def class_association(df: DataFrame, features: Sequence[str] = ENGINEERED,
-                      labels: Sequence[str] = LABELS, target: str = TARGET) -> DataFrame:
-    """Each feature's correlation with every class, strongest association first."""
-    made, states = _with_indicators(df, features, labels, target)
-    pairs = [(f, s) for f in features for s in states]
-    names = "array(" + ", ".join(f"array('{a}', '{b}')" for a, b in pairs) + ")"
-    found = pairwise_correlations(made, pairs).select(F.expr(f"{names}[pair]").alias("p"), "r")
-    wide = found.groupBy(F.col("p")[0].alias("feature")).agg(
-        *[F.max(F.when(F.col("p")[1] == s, F.col("r"))).alias(s) for s in states])
+def association_of(matrix: DataFrame, features: Sequence[str] = ENGINEERED,
+                   labels: Sequence[str] = LABELS) -> DataFrame:
+    """Each feature's correlation with every class, strongest association first: a part of the
+    matrix."""
+    states = [f"state_{label}" for label in labels]
+    found = matrix.filter(F.col("a").isin(*features) & F.col("b").isin(*states))
+    wide = found.groupBy(F.col("a").alias("feature")).agg(
+        *[F.max(F.when(F.col("b") == s, F.col("r"))).alias(s) for s in states])
     strongest = F.greatest(*[F.abs(F.col(s)) for s in states])
     return (wide.withColumn("max_abs_class_correlation", strongest)
             .orderBy(F.desc("max_abs_class_correlation"), "feature"))
+
+
+def class_association(df: DataFrame, features: Sequence[str] = ENGINEERED,
+                      labels: Sequence[str] = LABELS, target: str = TARGET) -> DataFrame:
+    return association_of(correlation_matrix(df, features, labels, target), features, labels)

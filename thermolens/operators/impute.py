@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from thermolens.functions.numeric import finite
 from thermolens.operators.features import add_physical_features
-from thermolens.operators.order_stats import RANKED_VALUES, exact_medians, is_small, widen
+from thermolens.operators.order_stats import RANKED_VALUES, exact_medians, medians_with_total, widen
 from thermolens.schema import DELTA_INPUTS, IMPUTED, RATIO_INPUTS, ZONE
 from thermolens.session import keep, lookup_join
 from thermolens.sources.guards import raise_on_guard, require_columns
@@ -36,12 +36,9 @@ def global_medians(df: DataFrame, columns: Sequence[str] = IMPUTED, *, method: s
     clean = df.select(*[finite(c).alias(c) for c in columns])
     if method == "approx":
         return clean.agg(*[F.percentile_approx(c, 0.5).alias(c) for c in columns])
-    if is_small(clean.count(), limit):
-        return clean.agg(*[F.median(c).alias(c) for c in columns])
     return widen(exact_medians(clean, [], columns, limit), [], columns)
 
 
-
 class _MedianParams(Params):
     groupCol = Param(Params._dummy(), "groupCol", "column with the group key",
                      TypeConverters.toString)
@@ -67,9 +64,8 @@ class _MedianParams(Params):
 class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Learns a median per group and column, and a global one for the gaps.
 
-    One aggregate checks the input and counts it, a second one finds all medians. Small tables
-    use Spark's ``median``, which holds a group's values in memory; larger ones are ranked by
-    counting (see ``order_stats``). Exact either way.
+    One aggregate checks the input and counts it; then all medians, of groups and of the whole
+    table, are found together by counting (see ``order_stats``), in the same way at any size.
     """
 
     @keyword_only
@@ -90,9 +86,7 @@ class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, Defaul
         raise_on_guard(report, columns)
         # The estimate of the group count is off by some percent; leave room.
         groups = 2 * report["groups"]
-        zones, total = self._medians(clean, key, columns, report["n_rows"])
-        both = zones.unionByName(total.withColumn(key, F.lit(None).cast("string")))
-        kept = keep(both.select(key, *columns, "n"), groups)
+        kept = keep(self._medians(clean, key, columns).select(key, *columns, "n"), groups)
         is_total = F.col(key).isNull()
         fitted = (kept.table.filter(is_total).first() if kept.rows is None
                   else next(row for row in kept.rows if row[key] is None))
@@ -100,21 +94,15 @@ class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, Defaul
                                  groups)
         return self._copyValues(model)
 
-    def _medians(self, clean: DataFrame, key: str, columns: list[str],
-                 rows: int) -> tuple[DataFrame, DataFrame]:
-        """Wide medians per group, and for all rows, each with its row count ``n``."""
-        method = self.getOrDefault(self.method)
-        limit = self.getOrDefault(self.rankedValues)
-        if method == "approx" or is_small(rows, limit):
-            middle = (lambda c: F.percentile_approx(c, 0.5)) if method == "approx" else F.median
-            picked = [*[middle(c).alias(c) for c in columns], F.count(F.lit(1)).alias("n")]
-            return clean.groupBy(key).agg(*picked), clean.agg(*picked)
-        return (_widen_with_count(exact_medians(clean, [key], columns, limit), [key], columns),
-                _widen_with_count(exact_medians(clean, [], columns, limit), [], columns))
-
-
-def _widen_with_count(long: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    return widen(long, keys, columns, F.max("n").alias("n"))
+    def _medians(self, clean: DataFrame, key: str, columns: list[str]) -> DataFrame:
+        """Wide medians and row count ``n`` per group and, with a null key, of all rows."""
+        if self.getOrDefault(self.method) == "approx":
+            picked = [*[F.percentile_approx(c, 0.5).alias(c) for c in columns],
+                      F.count(F.lit(1)).alias("n")]
+            total = clean.agg(*picked).withColumn(key, F.lit(None).cast("string"))
+            return clean.groupBy(key).agg(*picked).unionByName(total)
+        long = medians_with_total(clean, key, columns, self.getOrDefault(self.rankedValues))
+        return widen(long, [key], columns, F.max("n").alias("n"))
 
 
 class GroupMedianModel(_MedianParams, Model, MLReadable, MLWritable):

@@ -3,10 +3,11 @@
 A group may hold a third of all rows, so no operator here sorts the rows of a group in one task.
 Rows are first reduced to (group, value, count): a hash aggregate that is combined on the map
 side and spreads even one hot group over all reducers. Only those distinct values are ranked,
-and only when a group is known to have at most ``limit`` of them. Otherwise the range around the
-wanted rank is cut into cells, the cells are counted, the one cell that holds the rank is kept,
-and the step repeats on that cell. Each step removes at least one distinct value and in practice
-divides the range by ``CELLS``; results are exact whatever the distribution.
+and only when a group is known to have at most ``limit`` of them, a bound on one task's memory.
+Otherwise the search is first narrowed to the values between two approximate percentiles around
+the wanted rank. Percentiles follow the rows, not the range of values, so one narrowing keeps
+about four of CELLS parts of a group's rows whatever their distribution: two scans divide the
+rows to rank by some 250. Results are exact, and do not depend on which way they were found.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from thermolens.session import Kept, keep, lookup_join, materialise
 
 RANKED_VALUES = 200_000
 CELLS = 1024
-# Up to this many rows in all, no group can make the value map of ``median`` too large.
-SMALL_TABLE = 5_000_000
+# Rank error of the percentiles, as a share of the rows: a tenth of a cell.
+ACCURACY = 10 * CELLS
 
 RankRule = Callable[[Column], Sequence[Column]]
 
@@ -32,11 +33,6 @@ def middle_ranks(n: Column) -> Sequence[Column]:
     return F.floor((n - 1) / 2), F.floor(n / 2)
 
 
-def is_small(rows: int, limit: int = RANKED_VALUES) -> bool:
-    """Whether ``median`` may hold the values; a lowered limit lowers this bound too."""
-    return rows <= (SMALL_TABLE if limit >= RANKED_VALUES else limit)
-
-
 def value_counts(obs: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return obs.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
 
@@ -70,7 +66,7 @@ def rank_counted(counted: DataFrame, keys: Sequence[str], value: str, ranks: Ran
 
 
 def select_ranks(obs: DataFrame, keys: Sequence[str], value: str, ranks: RankRule,
-                 limit: int = RANKED_VALUES, cells: int = CELLS) -> DataFrame:
+                 limit: int = RANKED_VALUES) -> DataFrame:
     """Exact values at the ranks given by ``ranks(n)``, for each group of ``keys``.
 
     ``obs`` holds non-null values only. ``keys`` must not be empty or null. See
@@ -81,26 +77,28 @@ def select_ranks(obs: DataFrame, keys: Sequence[str], value: str, ranks: RankRul
     widest = sizes.agg(F.max("_d")).first()[0] or 0
     if widest <= limit:
         return rank_counted(value_counts(obs, keys, value), keys, value, ranks)
-    return _select_by_narrowing(obs, keys, value, ranks, sizes, limit, cells)
+    return _select_by_narrowing(obs, keys, value, ranks, sizes, limit)
 
 
 def _select_by_narrowing(obs: DataFrame, keys: list[str], value: str, ranks: RankRule,
-                         sizes: DataFrame, limit: int, cells: int) -> DataFrame:
-    """One target per group - a range of ranks between two bounds - narrowed until it is small.
-
-    A group has a second target only while its two middle ranks lie in different cells.
-    """
+                         sizes: DataFrame, limit: int) -> DataFrame:
+    """The range of ranks of each group, between two bounds that are narrowed until few distinct
+    values lie between them, or no fewer are left."""
     first, last = ranks(F.col("_n"))
     bounds = materialise(sizes.select(
-        *keys, "_n", "_lo", "_hi", "_d", F.lit(0).cast("bigint").alias("_below"),
+        *keys, "_n", "_lo", "_hi", "_d", F.col("_n").alias("_inside"),
+        F.lit(0).cast("bigint").alias("_below"),
         first.cast("bigint").alias("_first"), last.cast("bigint").alias("_last")))
+    before = None
     while True:
-        widest, rows = bounds.agg(F.coalesce(F.max("_d"), F.lit(0)), F.count(F.lit(1))).first()
-        if widest <= limit:
+        wide = F.col("_d") > limit
+        rows, left = bounds.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum(F.when(wide, F.col("_inside"))), F.lit(0))).first()
+        if not left or left == before:
             break
-        wide = bounds.filter(F.col("_d") > limit)
-        bounds = materialise(bounds.filter(F.col("_d") <= limit).unionByName(
-            _narrow(obs, keys, value, wide, rows, cells)))
+        before = left
+        bounds = materialise(bounds.filter(~wide).unionByName(
+            _narrow(obs, keys, value, bounds.filter(wide), rows)))
 
     target = [*keys, "_first", "_last"]
     counted = _inside(obs, keys, value, bounds, rows).groupBy(*target, value).agg(
@@ -126,25 +124,28 @@ def _inside(obs: DataFrame, keys: list[str], value: str, bounds: DataFrame, rows
     return joined.filter(F.col(value).between(F.col("_lo"), F.col("_hi")))
 
 
-def _narrow(obs: DataFrame, keys: list[str], value: str, wide: DataFrame, rows: int,
-            cells: int) -> DataFrame:
-    """Replace the bounds of each target by those of the cell, or two cells, with its ranks."""
-    low, high = (F.col(c).cast("double") for c in ("_lo", "_hi"))
-    # Halves keep the range finite even between the largest negative and positive doubles.
-    width = (high / 2 - low / 2) / F.lit(cells / 2)
-    offset = F.col(value).cast("double") / 2 - low / 2
-    cell = F.least(F.lit(cells - 1), F.floor(offset / (width / 2)).cast("int"))
-    target = [*keys, "_first", "_last"]
-    counted = (_inside(obs, keys, value, wide, rows)
-               .groupBy(*target, cell.alias("_cell"))
-               .agg(F.count(F.lit(1)).alias("_c"), F.min(value).alias("_clo"),
-                    F.max(value).alias("_chi"), F.approx_count_distinct(value).alias("_cd"),
-                    F.max("_below").alias("_below"), F.max("_n").alias("_n")))
-    return _hits(counted, target, "_cell").select(
-        *keys, "_n", F.col("_clo").alias("_lo"), F.col("_chi").alias("_hi"),
-        F.col("_cd").alias("_d"), F.col("_start").alias("_below"),
-        F.greatest("_first", "_start").alias("_first"),
-        F.least(F.col("_last"), F.col("_end") - 1).alias("_last"))
+def _narrow(obs: DataFrame, keys: list[str], value: str, wide: DataFrame, rows: int) -> DataFrame:
+    """Replace the bounds of each target by percentiles on both sides of its ranks."""
+    target = [*keys, "_n", "_lo", "_hi", "_below", "_first", "_last"]
+    grid = [i / CELLS for i in range(CELLS + 1)]
+    cut = _inside(obs, keys, value, wide, rows).groupBy(*target).agg(
+        F.count(F.lit(1)).alias("_c"), F.percentile_approx(value, grid, ACCURACY).alias("_e"))
+    # Edge i has a rank within a tenth of a cell of i cells, so one whole cell is room enough.
+    place = [(F.col(rank) - F.col("_below")) * F.lit(CELLS) / F.col("_c")
+             for rank in ("_first", "_last")]
+    low, high = F.floor(place[0]) - 1, F.ceil(place[1]) + 2
+    closer = materialise(cut.select(
+        *keys, "_n", "_below", "_first", "_last",
+        F.when(low < 0, F.col("_lo")).otherwise(F.get("_e", low.cast("int"))).alias("_lo"),
+        F.when(high > CELLS, F.col("_hi")).otherwise(F.get("_e", high.cast("int"))).alias("_hi"),
+        F.col("_lo").alias("_from"), F.col("_hi").alias("_to")))
+    joined = lookup_join(obs, closer, keys, rows, how="inner", weight="_n").filter(
+        F.col(value).between(F.col("_from"), F.col("_hi")))
+    inside = F.col(value) >= F.col("_lo")
+    return joined.groupBy(*keys, "_n", "_lo", "_hi", "_first", "_last").agg(
+        F.approx_count_distinct(F.when(inside, F.col(value))).alias("_d"),
+        F.count_if(inside).alias("_inside"),
+        (F.max("_below") + F.count_if(~inside)).alias("_below"))
 
 
 # --- medians -----------------------------------------------------------------------------------
@@ -156,13 +157,34 @@ def observations(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) ->
         F.col("value").isNotNull())
 
 
+def _middle() -> Column:
+    """Halves are added, so that no difference of two large values overflows."""
+    return F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
+        F.col("low") / 2 + F.col("high") / 2)
+
+
 def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                   limit: int = RANKED_VALUES) -> DataFrame:
     """(keys, column, median, n) for every group and column with at least one value."""
     picked = select_ranks(observations(df, keys, columns), [*keys, "column"], "value",
                           middle_ranks, limit)
-    middle = F.col("low") + (F.col("high") - F.col("low")) / 2
-    return picked.select(*keys, "column", middle.alias("median"), "n")
+    return picked.select(*keys, "column", _middle().alias("median"), "n")
+
+
+def medians_with_total(df: DataFrame, key: str, columns: Sequence[str],
+                       limit: int = RANKED_VALUES) -> DataFrame:
+    """(key, column, median, n) per group and, with a null key, over all rows, in the same scans.
+
+    Every observation counts for its group and for the total.
+    """
+    scopes = F.explode(F.array(
+        F.struct(F.lit(False).alias("_all"), F.col(key).alias("_key")),
+        F.struct(F.lit(True).alias("_all"), F.lit("").alias("_key"))))
+    obs = observations(df, [key], columns).select("column", "value", scopes.alias("_s")).select(
+        "_s._all", "_s._key", "column", "value")
+    picked = select_ranks(obs, ["_all", "_key", "column"], "value", middle_ranks, limit)
+    return picked.select(F.when(~F.col("_all"), F.col("_key")).alias(key), "column",
+                         _middle().alias("median"), "n")
 
 
 def widen(long: DataFrame, keys: Sequence[str], columns: Sequence[str],
@@ -188,16 +210,16 @@ def rank_boundary(df: DataFrame, order: Sequence[str], wanted: Callable[[Column]
     base = df.select(
         *([_present(c, F.col(c)).alias(c) for c in by] or [F.lit(1).alias("_all")]),
         *[_present(c, _as_number(df, c)).alias(o) for c, o in zip(order, numeric)])
-    sizes = group_sizes(base, keys, numeric[0])
+    sizes = materialise(group_sizes(base, keys, numeric[0]))
     groups, widest = sizes.agg(F.count(F.lit(1)), F.coalesce(F.max("_d"), F.lit(0))).first()
     rule = _wanted_rule(wanted)
     picked = (rank_counted(value_counts(base, keys, numeric[0]), keys, numeric[0], rule)
               if widest <= limit else
-              _select_by_narrowing(base, keys, numeric[0], rule, sizes, limit, CELLS))
+              _select_by_narrowing(base, keys, numeric[0], rule, sizes, limit))
     need = wanted(F.col("n")).cast("bigint") - F.col("below")
     known = keep(picked.filter(wanted(F.col("n")) > 0).select(
-        *keys, F.col("low").alias("_b0"), need.alias("_need"), F.col("equal").alias("_ties")),
-        groups)
+        *keys, "n", F.col("low").alias("_b0"), need.alias("_need"),
+        F.col("equal").alias("_ties")), groups)
     for i, column in enumerate(numeric[1:], 1):
         found = [f"_b{j}" for j in range(i)]
         ties = lookup_join(base, known.table, keys, groups, how="inner", weight="_ties")
@@ -211,8 +233,8 @@ def rank_boundary(df: DataFrame, order: Sequence[str], wanted: Callable[[Column]
         picked = (rank_counted(value_counts(scope, scope_keys, column), scope_keys, column,
                                _need_rule) if most <= limit
                   else select_ranks(scope, scope_keys, column, _need_rule, limit))
-        known = keep(picked.select(
-            *keys, *found, F.col("low").alias(f"_b{i}"),
+        known = keep(picked.drop("n").join(F.broadcast(known.table.select(*keys, "n")), keys).select(
+            *keys, "n", *found, F.col("low").alias(f"_b{i}"),
             (F.col("_need") - F.col("below")).alias("_need"), F.col("equal").alias("_ties")),
             groups)
     return known, groups

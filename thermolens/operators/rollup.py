@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,14 +42,17 @@ def floor_issue_rate(df: DataFrame, label: str = THERMAL) -> DataFrame:
     return rates.withColumn("rise_pct", F.try_divide(F.col("issue_pct") - base, base) * 100)
 
 
-def zone_dimension(df: DataFrame, zones_per_building: int = 4) -> DataFrame:
-    """Every building with its full list of zones, and the readings seen in each (maybe none).
+def zone_dimension(df: DataFrame, zones: Sequence[str] = ("Z01", "Z02", "Z03", "Z04")) -> DataFrame:
+    """Every building with the listed zones and all others it has, and the readings seen in each.
 
-    Zones are counted side by side in one aggregate, so no product of tables is formed.
+    The readings are counted once per building and zone; only those counts are unfolded.
     """
-    zones = [f"Z{i:02d}" for i in range(1, zones_per_building + 1)]
-    wide = df.groupBy(building(ZONE).alias("building")).agg(
-        *[F.count_if(zone_part(ZONE) == z).alias(z) for z in zones])
-    return wide.unpivot("building", zones, "zone", "n_readings").select(
+    seen = df.groupBy(building(ZONE).alias("building"), zone_part(ZONE).alias("zone")).agg(
+        F.count(F.lit(1)).alias("n"))
+    both = F.array(F.struct("zone", "n"), *[
+        F.struct(F.lit(z).alias("zone"), F.lit(0).cast("long").alias("n")) for z in zones])
+    counted = seen.select("building", F.inline(both)).groupBy("building", "zone").agg(
+        F.sum("n").alias("n_readings"))
+    return counted.select(
         "building", "zone", F.concat_ws("-", "building", "zone").alias("building_zone"),
         "n_readings")

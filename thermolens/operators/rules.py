@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,19 +24,6 @@ RULE_PROBABILITIES = {
 RECOMMENDATION_LIMITS = {"filter_pressure_pa": 120, "co2_ppm": 1000, "air_flow_m3_h": 300,
                          "indoor_temp_c": 27, "temperature_gap": 12, "hvac_power_kw": 6}
 
-MESSAGES = {
-    "clogged_filter": "Filter pressure is high (over 120 Pa): inspect, clean or replace the filter.",
-    "high_co2": "CO2 is over the safe limit: raise the fan speed or let in fresh air.",
-    "low_air_flow": "Air flow is low: check the exhaust fan motor and the ducts.",
-    "ventilation_check": "General ventilation fault: have a technician check the whole system.",
-    "overheated_room": "The room is too hot: raise the cooling output of the coil units.",
-    "large_temperature_gap": "Indoor and outdoor temperature differ widely: check the insulation.",
-    "peak_hvac_load": "HVAC power is at its peak: watch the compressor current.",
-    "thermal_check": "General thermal fault: the set temperature is not held, service is due.",
-    "all_good": "The system runs well: air quality and comfort meet the standards.",
-    "keep_schedule": "Keep the maintenance interval of 60 to 90 days.",
-}
-
 # Colour and icon of each class on displays.
 LABEL_ATTRIBUTES = {
     "normal": ("Normal", "#22C55E", "\U0001F7E2"),
@@ -104,13 +89,6 @@ def recommendations(df: DataFrame, predicted: str = "predicted") -> DataFrame:
                          .when(label == THERMAL, thermal).otherwise(normal))
 
 
-def add_messages(df: DataFrame, codes: str = "recommendations",
-                 messages: Mapping[str, str] = MESSAGES) -> DataFrame:
-    """Adds ``messages``: the text of every code."""
-    texts = F.create_map(*[F.lit(x) for pair in messages.items() for x in pair])
-    return df.withColumn("messages", F.transform(codes, lambda code: F.element_at(texts, code)))
-
-
 def add_label_attributes(df: DataFrame, label: str = "predicted") -> DataFrame:
     """Adds title, colour and icon of the class from a three-row dimension."""
     spark = df.sparkSession

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thermolens.functions.labels import label_name
 from thermolens.operators.features import add_physical_features, apply_defaults, coerce_numeric
+from thermolens.operators.impute import PhysicalFeatures
+from thermolens.operators.ml import LABEL
 from thermolens.operators.rules import recommendations, rule_diagnosis
 from thermolens.schema import IMPUTED, LABELS, PHYSICAL
 
@@ -28,11 +31,20 @@ def prepare_scoring_input(df: DataFrame) -> DataFrame:
     return add_physical_features(coerce_numeric(filled, IMPUTED + PHYSICAL), "clamp_epsilon")
 
 
+def serving_pipeline(features: PipelineModel) -> PipelineModel:
+    """A fitted pipeline for new readings: ratios stay defined for any denominator, as they were
+    prepared, and no label is asked for."""
+    stages = [PhysicalFeatures(policy="clamp_epsilon") if isinstance(s, PhysicalFeatures) else s
+              for s in features.stages
+              if not (isinstance(s, StringIndexerModel) and s.getOutputCol() == LABEL)]
+    return PipelineModel(stages=stages)
+
+
 def score(df: DataFrame, features: PipelineModel, classifier: Model,
           labels: Sequence[str] = LABELS) -> DataFrame:
     """Adds predicted class, confidence and one probability per class (percent, one decimal)."""
     prepared = prepare_scoring_input(df)
-    scored = classifier.transform(features.transform(prepared))
+    scored = classifier.transform(serving_pipeline(features).transform(prepared))
     p = vector_to_array(F.col("probability"))
     code = F.col("prediction").cast("int")
     out = scored.withColumns({

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +29,8 @@ def split_by_cutoff(df: DataFrame, cutoff: str = DEFAULT_CUTOFF, column: str = T
                     check: bool = False) -> tuple[DataFrame, DataFrame]:
     """Rows before the cutoff, and rows at or after it.
 
-    With ``check`` a single pass rejects time stamps that cannot be parsed and empty sides.
+    A row without a time that can be read belongs to neither side; reading the second one raises.
+    With ``check`` a single pass rejects such rows, and empty sides, beforehand.
     """
     date.fromisoformat(cutoff)
     before = cutoff_condition(df, cutoff, column)
@@ -41,7 +41,10 @@ def split_by_cutoff(df: DataFrame, cutoff: str = DEFAULT_CUTOFF, column: str = T
             raise ValueError(f"{column} contains invalid time stamps")
         if not n["train"] or not n["test"]:
             raise ValueError("Train or test split is empty; check the cutoff and the input dates")
-    return df.filter(before), df.filter(~before)
+    # The scan still gets a range, or null, to prune by; then a null is an error.
+    rest = df.filter(~before | before.isNull()).filter(F.when(before.isNotNull(), True).otherwise(
+        F.raise_error(F.lit(f"{column} contains invalid time stamps")).cast("boolean")))
+    return df.filter(before), rest
 
 
 def rank_conditions(df: DataFrame, first: float | int, order: tuple[str, ...] = (TIME, ID),
@@ -97,7 +100,8 @@ def add_stratified_split(df: DataFrame, share: float = 0.8, label: str = TARGET,
     order = ("_hash", key)
     bound, classes = rank_boundary(hashed, order, lambda n: F.floor(n * F.lit(share)), [label],
                                    limit)
-    joined = lookup_join(hashed, bound.table.select(label, "_b0", "_b1"), [label], classes)
+    joined = lookup_join(hashed, bound.table.select(label, "_b0", "_b1", F.col("n").alias("_rows")), [label], classes,
+                         weight="_rows")
     inside = within_boundary(hashed, order, [F.col("_b0"), F.col("_b1")])
     split = F.when(F.coalesce(inside, F.lit(False)), "train").otherwise("test")
     return joined.withColumn("split", split).select(*df.columns, "split")
@@ -105,11 +109,18 @@ def add_stratified_split(df: DataFrame, share: float = 0.8, label: str = TARGET,
 
 def hash_sample(df: DataFrame, share: float = 0.15, key: str = ID) -> DataFrame:
     """A repeatable Bernoulli-like sample: the same ids whatever the partitioning."""
-    return df.filter(hash_bucket(key, 10_000) < math.floor(share * 10_000))
+    return df.filter(_in_share(share, key))
+
+
+def _in_share(share: float, key: str) -> Column:
+    """Whether an id falls into the first of 10,000 buckets; a null id is an error."""
+    bucket = hash_bucket(key, 10_000)
+    return F.when(F.col(key).isNull(), F.raise_error(F.lit(f"{key} contains null values"))
+                  .cast("boolean")).otherwise(bucket < round(share * 10_000))
 
 
 def hash_split(df: DataFrame, share: float = 0.8, key: str = ID) -> tuple[DataFrame, DataFrame]:
-    inside = hash_bucket(key, 10_000) < math.floor(share * 10_000)
+    inside = _in_share(share, key)
     return df.filter(inside), df.filter(~inside)
 
 

@@ -6,17 +6,56 @@ with the Spark operators except the text of the derived ``readings`` relation.
 
 from __future__ import annotations
 
-from thermolens.operators.rules import LABEL_ATTRIBUTES
-from thermolens.operators.scoring import DEFAULT_IMPORTANCES
-from thermolens.plans.queries import CUTOFF, FIRST_ROWS, RATIO_DIGITS
-from thermolens.schema import (ENGINEERED, IMPUTED, LABELS, MODEL_FEATURES, PHYSICAL,
-                               RATIO_INPUTS, RATIOS, RAW_SCHEMA, SCORING_SCHEMA, VALID_RANGES,
-                               VECTOR_FEATURES)
 from thermolens.sources.fixture import READINGS_SQL
 
+# Everything that the SQL states is written out here, apart from the code it checks.
+CUTOFF, FIRST_ROWS, RATIO_DIGITS = "2024-01-24", 5000, 8
+# Columns, classes, ranges, presentation and weights, as in the specification.
+RAW = (
+    "reading_id recorded_at building_zone sensor_id floor_number occupancy_count outdoor_temp_c "
+    "outdoor_humidity_pct outdoor_pm25_ug_m3 indoor_temp_c indoor_humidity_pct co2_ppm pm25_ug_m3 "
+    "tvoc_ppb air_flow_m3_h fan_speed_rpm hvac_power_kw filter_pressure_pa vibration_mm_s "
+    "maintenance_days window_open_pct equipment_age_years firmware_version diagnostic_state").split()
+IMPUTED = ("occupancy_count", "tvoc_ppb", "vibration_mm_s", "window_open_pct")
+PHYSICAL = (
+    "indoor_temp_c outdoor_temp_c indoor_humidity_pct outdoor_humidity_pct pm25_ug_m3 "
+    "outdoor_pm25_ug_m3 filter_pressure_pa air_flow_m3_h hvac_power_kw").split()
+RATIO_INPUTS = {
+    "pm25_indoor_outdoor_ratio": ("pm25_ug_m3", "outdoor_pm25_ug_m3"),
+    "filter_pressure_per_airflow": ("filter_pressure_pa", "air_flow_m3_h"),
+    "hvac_kw_per_airflow": ("hvac_power_kw", "air_flow_m3_h"),
+}
+RATIOS = tuple(RATIO_INPUTS)
+ENGINEERED = ("delta_temp_c", "delta_humidity_pct", *RATIOS)
+MODEL_FEATURES = ("floor_number", *IMPUTED, *PHYSICAL, "co2_ppm", "fan_speed_rpm",
+                  "maintenance_days", "equipment_age_years", *ENGINEERED)
+VECTOR_FEATURES = (*MODEL_FEATURES, "building_zone_idx")
+SCORING_COLUMNS = (
+    "building_zone floor_number occupancy_count outdoor_temp_c outdoor_humidity_pct "
+    "outdoor_pm25_ug_m3 indoor_temp_c indoor_humidity_pct co2_ppm pm25_ug_m3 tvoc_ppb "
+    "air_flow_m3_h fan_speed_rpm hvac_power_kw filter_pressure_pa vibration_mm_s "
+    "maintenance_days window_open_pct equipment_age_years").split()
+LABELS = ("normal", "ventilation_issue", "thermal_issue")
+LABEL_ATTRIBUTES = {
+    "normal": ("Normal", "#22C55E"), "ventilation_issue": ("Ventilation issue", "#EF4444"),
+    "thermal_issue": ("Thermal issue", "#F59E0B"),
+}
+TOP_IMPORTANCES = {
+    "co2_ppm": 22, "filter_pressure_pa": 18, "delta_temp_c": 15, "indoor_temp_c": 12,
+    "air_flow_m3_h": 10, "pm25_indoor_outdoor_ratio": 8,
+}
+VALID_RANGES = {
+    "floor_number": (1, 4), "occupancy_count": (0, 300), "indoor_temp_c": (14, 42),
+    "outdoor_temp_c": (-5, 45), "co2_ppm": (300, 2500), "pm25_ug_m3": (0, 200),
+    "indoor_humidity_pct": (20, 95), "air_flow_m3_h": (100, 4000),
+    "filter_pressure_pa": (40, 300), "hvac_power_kw": (0.5, 25), "fan_speed_rpm": (400, 2500),
+    "vibration_mm_s": (0.2, 10), "maintenance_days": (0, 500),
+}
+
 BEFORE = f"recorded_at < TIMESTAMP '{CUTOFF} 00:00:00'"
+SIDE = f"CASE WHEN {BEFORE} THEN 'train' ELSE 'test' END AS split"
 READINGS = f"WITH readings AS ({READINGS_SQL.format(events='events')})"
-DOUBLES = {f.name for f in RAW_SCHEMA if f.dataType.typeName() == "double"} | set(ENGINEERED)
+DOUBLES = {*IMPUTED, *PHYSICAL, *ENGINEERED, "co2_ppm", "fan_speed_rpm", "equipment_age_years"}
 
 
 def r(expression: str, name: str | None = None, digits: int = 6) -> str:
@@ -27,7 +66,6 @@ def pick(names, digits: int = 6) -> str:
     return ", ".join(r(n, n, digits) if n in DOUBLES else n for n in names)
 
 
-RAW = [f.name for f in RAW_SCHEMA]
 DELTA_SQL = ("indoor_temp_c - outdoor_temp_c AS delta_temp_c, "
              "indoor_humidity_pct - outdoor_humidity_pct AS delta_humidity_pct")
 
@@ -150,14 +188,14 @@ def _coerce_checks() -> str:
 
 def _schema_checks() -> str:
     columns = []
-    for f in SCORING_SCHEMA:
-        if f.name in ENGINEERED:
-            columns.append(f"CAST(NULL AS DOUBLE) AS {f.name}")
-        elif f.name == "fan_speed_rpm":
+    for name in (*SCORING_COLUMNS, *ENGINEERED, "diagnostic_state"):
+        if name in ENGINEERED:
+            columns.append(f"CAST(NULL AS DOUBLE) AS {name}")
+        elif name == "fan_speed_rpm":
             columns.append("CASE WHEN reading_id % 50 = 0 THEN NULL ELSE fan_speed_rpm END "
                            "AS fan_speed_rpm")
         else:
-            columns.append(pick([f.name]))
+            columns.append(pick([name]))
     return f"{READINGS} SELECT reading_id, {', '.join(columns)} FROM readings"
 
 
@@ -176,16 +214,17 @@ def _crossover() -> str:
 
 
 def _contributions() -> str:
-    ranked = sorted(DEFAULT_IMPORTANCES.items(), key=lambda item: -item[1])[:6]
     head = (f"{READINGS}, f AS (SELECT *, {DELTA_SQL}, {ratio_sql('clamp_epsilon')} FROM readings)")
     rows = [f"reading_id, {i} AS position, '{name}' AS feature, round({name}, 2) + 0.0 AS value, "
-            f"CAST({round(weight * 100, 2)} AS DOUBLE) AS importance"
-            for i, (name, weight) in enumerate(ranked, 1)]
+            f"CAST({weight} AS DOUBLE) AS importance"
+            for i, (name, weight) in enumerate(TOP_IMPORTANCES.items(), 1)]
     return _stacked("f", rows, head)
 
 
 CHECKS: dict[str, str] = {
-    "scan_parquet": "SELECT o_orderkey, o_custkey, round(o_totalprice, 6) AS o_totalprice FROM orders",
+    "scan_parquet": "SELECT * REPLACE (round(l_quantity, 6) AS l_quantity, "
+                    "round(l_extendedprice, 6) AS l_extendedprice, "
+                    "round(l_discount, 6) AS l_discount, round(l_tax, 6) AS l_tax) FROM lineitem",
     "scan_csv_roundtrip": f"{READINGS} SELECT {pick(RAW)} FROM readings",
     "first_n_rows": f"{READINGS} SELECT reading_id, recorded_at, building_zone FROM readings "
                     f"ORDER BY recorded_at, reading_id LIMIT {FIRST_ROWS}",
@@ -257,8 +296,9 @@ CHECKS: dict[str, str] = {
                   "ELSE 'test' END AS split FROM readings",
     "group_median_impute": f"{FILLED} SELECT reading_id, {pick(IMPUTED)} FROM filled",
     "fit_train_apply_test": f"{FILLED} SELECT reading_id, "
-                                 f"{pick((*IMPUTED, *ENGINEERED), RATIO_DIGITS)} "
-                                 f"FROM feat WHERE NOT ({BEFORE})",
+                                 f"{pick((*IMPUTED, *ENGINEERED), RATIO_DIGITS)}, {SIDE} FROM feat",
+    "feature_job_outputs": f"{FILLED} SELECT reading_id, "
+                           f"{pick((*IMPUTED, *ENGINEERED), RATIO_DIGITS)}, {SIDE} FROM feat",
     "zone_dimension": f"{READINGS}, b AS (SELECT DISTINCT {BUILDING} AS building FROM readings), "
                       "g AS (SELECT building, 'Z0' || CAST(i AS VARCHAR) AS zone FROM b, range(1, 5) t(i)) "
                       "SELECT building, zone, building || '-' || zone AS building_zone, "
@@ -349,7 +389,7 @@ CHECKS: dict[str, str] = {
     "scaled_features": f"{STATS} SELECT reading_id, {SCALED} FROM vec, stats",
     "feature_pipeline": f"{STATS} SELECT reading_id, CAST(CASE diagnostic_state WHEN 'normal' THEN 0 "
                         "WHEN 'ventilation_issue' THEN 1 ELSE 2 END AS DOUBLE) AS label, "
-                        f"{SCALED} FROM vec, stats WHERE NOT ({BEFORE})",
+                        f"{SCALED}, {SIDE} FROM vec, stats",
     "onehot_zscore": f"{STATS} SELECT reading_id, active_zone, "
                      + ", ".join(r(f"({c} - a_{c}) / s_{c}", c) for c in MODEL_FEATURES)
                      + " FROM vec, stats",
@@ -371,6 +411,45 @@ CHECKS: dict[str, str] = {
                         + " END AS colour FROM ruled",
     "stream_rule_diagnosis": f"{FILLED}, p AS (SELECT *, {RULE} AS predicted FROM feat) "
                              f"SELECT reading_id, {pick(IMPUTED)}, predicted, {CODES} AS codes FROM p",
+    **{name: f"{READINGS} SELECT reading_id, diagnostic_state, "
+             "diagnostic_state = 'ventilation_issue' AS is_ventilation, true AS is_known "
+             f"FROM readings WHERE NOT ({BEFORE})"
+       for name in ("model_logreg", "model_random_forest", "model_gbt_ovr")},
+    "model_report": f"{READINGS}, c AS (SELECT diagnostic_state AS label, count(*) AS support "
+                    f"FROM readings WHERE NOT ({BEFORE}) GROUP BY 1), "
+                    "a AS (SELECT * FROM c UNION ALL SELECT x, CAST(sum(support) AS BIGINT) "
+                    "FROM c, (VALUES ('macro avg'), ('weighted avg')) v(x) GROUP BY x) "
+                    "SELECT model, label, support, true AS is_good, "
+                    "CASE label WHEN 'ventilation_issue' THEN CAST(1 AS DOUBLE) END AS ventilation_f1 "
+                    "FROM a, (VALUES ('logreg'), ('forest')) m(model)",
+    "tuning_results": "SELECT CAST(d AS DOUBLE) AS \"maxDepth\", CAST(t AS DOUBLE) AS \"numTrees\", "
+                      "true AS is_good FROM (VALUES (7), (10)) x(d), (VALUES (20), (40)) y(t)",
+    "top_importances": "SELECT feature, feature IN ('indoor_temp_c', 'co2_ppm', "
+                       "'filter_pressure_pa', 'delta_temp_c') AS is_leading, true AS is_share, "
+                       "CAST(1 AS DOUBLE) AS total FROM (VALUES "
+                       + ", ".join(f"('{c}')" for c in VECTOR_FEATURES) + ") v(feature)",
+    **{name: f"{READINGS} SELECT reading_id, diagnostic_state = 'ventilation_issue' "
+             "AS is_ventilation, true AS is_largest, true AS is_confidence, true AS adds_up, "
+             "CAST(6 AS INT) AS n_contributions, true AS has_advice FROM readings"
+       for name in ("score_batch", "saved_model_scores", "stream_model_scores")},
+    "scoring_vectors": f"{FULL}, ratios AS (SELECT reading_id AS id, {ratio_sql('clamp_epsilon')} "
+                       "FROM readings) SELECT reading_id, "
+                       + ", ".join(r(f"CAST({'ratios' if c in RATIOS else 'vec'}.{c} AS DOUBLE)", c,
+                                     RATIO_DIGITS) for c in VECTOR_FEATURES)
+                       + " FROM vec JOIN ratios ON id = reading_id",
+    "json_roundtrip": f"{READINGS} SELECT diagnostic_state, count(*) AS n, "
+                      "round(count(*) * CAST(100 AS DOUBLE) / sum(count(*)) OVER (), 2) "
+                      "AS percentage FROM readings GROUP BY diagnostic_state",
+    "coerce_wide_ids": f"{READINGS} SELECT reading_id + 3000000000 AS reading_id, "
+                       "building_zone FROM readings",
+    "zone_dimension_new_zones": f"{READINGS}, m AS (SELECT CASE WHEN reading_id % 3 = 0 THEN 'B01-Z05' "
+                                "ELSE building_zone END AS z FROM readings), "
+                                "a AS (SELECT DISTINCT split_part(z, '-', 1) AS building, zone "
+                                "FROM m, (VALUES ('Z01'), ('Z02'), ('Z03'), ('Z04')) v(zone) UNION "
+                                "SELECT split_part(z, '-', 1), split_part(z, '-', 2) FROM m) "
+                                "SELECT building, zone, building || '-' || zone AS building_zone, "
+                                "(SELECT count(*) FROM m WHERE z = building || '-' || zone) "
+                                "AS n_readings FROM a",
     "stream_null_profile": f"{READINGS} SELECT time_bucket(INTERVAL '30 minutes', recorded_at) "
                            "AS window_start, building_zone, count(*) AS n, "
                            + ", ".join(f"count(*) - count({c}) AS null_{c}" for c in IMPUTED)

@@ -10,16 +10,15 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolens.operators.correlation import class_association, correlation_matrix
+from thermolens.operators.correlation import association_of, correlation_matrix
 from thermolens.operators.evaluate import classification_metrics
 from thermolens.operators.features import add_physical_features, coerce_numeric, parse_time
 from thermolens.operators.impute import GroupMedianImputer, GroupMedianModel
 from thermolens.operators.ml import (check_categories, feature_pipeline, importance_table, predictions,
                                      top_importances, tune_forest, tuning_table)
-from thermolens.operators.profile import group_summary
 from thermolens.operators.split import DEFAULT_CUTOFF, bernoulli_sample, split_by_cutoff
 from thermolens.schema import (ENGINEERED, IMPUTED, PHYSICAL, TARGET, TIME, VECTOR_FEATURES, ZONE)
-from thermolens.session import partition_count, persist, persisted, spread_rows, unpersist
+from thermolens.session import materialise, persisted, spread_rows
 from thermolens.sources.guards import require_columns
 from thermolens.sources.tables import (feature_metadata, read_table, write_csv, write_metadata,
                                        write_parquet)
@@ -58,13 +57,16 @@ def feature_job(spark: SparkSession, source: str | tuple[str, str], output: str,
     else:
         train, test = (read_table(spark, path) for path in source)
         model = GroupMedianImputer().fit(train)
+        if train.isEmpty() or test.isEmpty():
+            raise ValueError("Train or test split is empty")
         fitted = FittedSplit(model, *[add_physical_features(coerce_numeric(model.transform(d), PHYSICAL))
                                       for d in (train, test)])
     write_parquet(fitted.train, f"{output}/train_features.parquet")
     write_parquet(fitted.test, f"{output}/test_features.parquet")
     written = spark.read.parquet(f"{output}/train_features.parquet")
-    write_csv(correlation_matrix(written), f"{output}/feature_correlation_matrix.csv", decimals=5)
-    association = class_association(written)
+    matrix = materialise(correlation_matrix(written))
+    write_csv(matrix, f"{output}/feature_correlation_matrix.csv", decimals=5)
+    association = association_of(matrix)
     write_csv(association, f"{output}/feature_class_association.csv", decimals=5)
     return association
 
@@ -113,35 +115,3 @@ def timed(action: Callable[[], object]) -> float:
 def drain(df: DataFrame) -> None:
     """Compute every row and column and keep nothing."""
     df.write.format("noop").mode("overwrite").save()
-
-
-def cache_experiment(readings: DataFrame, repeats: int = 3) -> dict[str, float]:
-    """The same three actions on plain and on persisted input, after a common warm-up.
-
-    Also the zone summary at 2 partitions and at the count :func:`partition_count` proposes.
-    Filling the cache is timed separately, so that the comparison shows its price.
-    """
-    spark = readings.sparkSession
-    rows = readings.count()
-    best = partition_count(rows, spark.sparkContext.defaultParallelism)
-
-    def actions(df: DataFrame) -> None:
-        scored = feature_pipeline().fit(df).transform(df)
-        drain(scored.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
-        drain(scored.agg(F.avg("indoor_temp_c").alias("avg_temp")))
-
-    def median_time(action: Callable[[], object]) -> float:
-        return sorted(timed(action) for _ in range(repeats))[repeats // 2]
-
-    actions(readings)
-    plain = median_time(lambda: actions(readings))
-    cached = persist(readings.select("*"))
-    fill = timed(lambda: drain(cached))
-    warm = median_time(lambda: actions(cached))
-    unpersist(cached)
-    few, many = (median_time(lambda p=p: drain(group_summary(readings.repartition(p))))
-                 for p in (2, best))
-    return {"rows": rows, "plain_s": plain, "cache_fill_s": fill, "cached_s": warm,
-            "cache_speedup": plain / warm, "rows_per_s": rows / warm,
-            "ms_per_1000_rows": warm / rows * 1e6, "two_partitions_s": few,
-            "tuned_partitions": best, "tuned_partitions_s": many}

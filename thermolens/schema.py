@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 # Names, types and order of the 24 columns of a raw readings file.
 RAW_SCHEMA = T.StructType([
-    T.StructField("reading_id", T.IntegerType()),
+    T.StructField("reading_id", T.LongType()),
     T.StructField("recorded_at", T.StringType()),
     T.StructField("building_zone", T.StringType()),
     T.StructField("sensor_id", T.StringType()),

@@ -16,7 +16,7 @@ WITH b AS (
   SELECT event_id, ts, value, event_type, user_id % 24 AS z, user_id % 120 AS s,
          event_id % 97 AS h, event_id % 53 AS g
   FROM {events})
-SELECT CAST(event_id AS INT) AS reading_id,
+SELECT CAST(event_id AS BIGINT) AS reading_id,
   ts AS recorded_at,
   concat('B0', CAST(CAST((z - z % 4) / 4 AS INT) + 1 AS VARCHAR(4)),
          '-Z0', CAST(z % 4 + 1 AS VARCHAR(4))) AS building_zone,

@@ -5,18 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermolens.operators.features import enrich
 from thermolens.schema import LABELS, RAW_SCHEMA, TARGET
-from thermolens.session import tune_partitions
 
 _SUFFIX_FORMATS = {".csv": "csv", ".csv.gz": "csv", ".json": "json", ".parquet": "parquet",
                    ".orc": "orc"}
 
 
+#: Name of the text column that takes unreadable lines.
+CORRUPT = "_corrupt_record"
+
+
 def format_of(path: str) -> str:
     """The format by suffix; a path without a known suffix is a folder of Parquet files."""
     lowered = path.lower().rstrip("/")
@@ -24,8 +27,14 @@ def format_of(path: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW_SCHEMA) -> DataFrame:
-    """CSV with a header. A given schema saves a pass over the file; bad cells become null."""
+    """CSV with a header. A given schema saves a pass over the file; bad cells become null.
+
+    A schema that ends with CORRUPT gets the raw line of every row with a bad cell there, so that
+    such rows can be counted or set aside.
+    """
     reader = spark.read.option("header", True)
+    if isinstance(schema, T.StructType) and CORRUPT in schema.fieldNames():
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -59,7 +68,7 @@ def load_readings_table(spark: SparkSession, paths: str | Sequence[str],
                         partitions: int | None = None) -> DataFrame:
     """Read, add the physical features, and set the partition count if one is asked for."""
     df = enrich(read_first_available(spark, [paths] if isinstance(paths, str) else paths, schema))
-    return tune_partitions(df, partitions) if partitions else df
+    return df.repartition(partitions) if partitions else df
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -93,16 +102,17 @@ def rows_to_table(spark: SparkSession, rows: Sequence[Mapping[str, object]],
 def coerce_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of ``schema``, each cast or null."""
     return df.select(*[
-        (_whole(f.name) if isinstance(f.dataType, T.IntegralType)
-         else F.col(f.name).try_cast(f.dataType)).cast(f.dataType).alias(f.name)
+        (_whole(f.name, f.dataType) if isinstance(f.dataType, T.IntegralType)
+         else F.col(f.name).try_cast(f.dataType)).alias(f.name)
         if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema])
 
 
-def _whole(name: str):
-    """Whole-number cast that also takes text such as '25.0', dropping the fraction."""
-    number = F.col(name).try_cast("double")
-    return F.when(F.abs(number) < 2147483648.0, number).try_cast("int")
+def _whole(name: str, kind: T.DataType) -> Column:
+    """Whole-number cast within the type's own range that also takes text such as '25.0', dropping
+    the fraction."""
+    value = F.col(name)
+    return F.coalesce(value.try_cast(kind), value.try_cast("decimal(38,9)").try_cast(kind))
 
 
 def feature_metadata(features: Sequence[str], imputed: Sequence[str], engineered: Sequence[str],

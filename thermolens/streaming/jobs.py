@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from thermolens.operators.features import add_physical_features
 from thermolens.operators.impute import GroupMedianModel
 from thermolens.operators.rules import recommendations, rule_diagnosis
+from thermolens.operators.scoring import diagnose
 from thermolens.schema import IMPUTED, TIME, ZONE
 
 
@@ -35,6 +37,11 @@ def diagnose_stream(stream: DataFrame, medians: GroupMedianModel) -> DataFrame:
     return recommendations(rule_diagnosis(filled))
 
 
+def score_stream(stream: DataFrame, features: PipelineModel, classifier: Model) -> DataFrame:
+    """The batch answer of :func:`thermolens.operators.scoring.diagnose` for every new row."""
+    return diagnose(stream, features, classifier)
+
+
 def with_event_time(stream: DataFrame, delay: str = "1 hour", column: str = TIME) -> DataFrame:
     """Watermarks need a time stamp with zone; the wall clock is read as session time (UTC)."""
     return (stream.withColumn("event_time", F.col(column).cast("timestamp"))

@@ -58,7 +58,8 @@ def anchors(raw: np.ndarray) -> np.ndarray:
         sums = np.concatenate((np.zeros(1, np.uint64),
                                np.cumsum(_BYTE[1][part] * up[:part.size])))
         run = (sums[starts + windows + LENGTH - 1] - sums[starts]) * down[starts]
-        found.append(np.stack((grams[at[starts].astype(np.int64)],
+        # The least of many hashes is small; mixed again, suffixes spread evenly over the order.
+        found.append(np.stack((mix(grams[at[starts].astype(np.int64)]),
                                (starts + k).astype(np.uint64), windows.astype(np.uint64),
                                mix(run + windows.astype(np.uint64)))))
     return np.concatenate(found, 1)

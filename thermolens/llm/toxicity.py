@@ -59,11 +59,23 @@ class Machine:
 
 
 def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = 6,
-        rate: float = 0.1, penalty: float = 1e-4, least: int = 3, seed: int = 5) -> Machine:
-    """Logistic loss, minibatches, AdaGrad. Terms in fewer than ``least`` documents are left out."""
+        rate: float = 0.1, penalty: float = 1e-4, least: int = 3, contrast: float = 4.0,
+        seed: int = 5) -> Machine:
+    """Logistic loss, minibatches, AdaGrad.
+
+    Terms in fewer than ``least`` documents are left out, and those whose share of documents
+    differs between the labels by less than ``contrast`` standard errors: they only help to learn
+    single documents by heart.
+    """
     every = np.concatenate([*documents, np.empty(0, np.int32)])
-    terms, seen = np.unique(every, return_counts=True)
-    terms = terms[seen >= least]
+    size = [d.size for d in documents]
+    terms, at, seen = np.unique(every, return_inverse=True, return_counts=True)
+    toxic = np.bincount(at, np.repeat(labels, size), terms.size)
+    sides = np.maximum([labels.sum(), labels.size - labels.sum()], 1)
+    overall = seen / max(labels.size, 1)
+    error = np.sqrt(overall * (1 - overall) * (1 / sides).sum()) + 1e-9
+    apart = np.abs(toxic / sides[0] - (seen - toxic) / sides[1]) / error
+    terms = terms[(seen >= least) & (apart >= contrast)]
     random = np.random.default_rng(seed)
     share = (labels.sum() + 0.5) / (labels.size + 1)
     bias = float(np.log(share / (1 - share)))

@@ -14,6 +14,8 @@ from thermolens.llm.common import partitions, settle, whole_text, with_row
 from thermolens.llm.tokens import encoder
 
 HASHED, DIMENSIONS, BITS = 256, 3, 10
+#: Keys that are sampled to cut the order into ranges.
+SAMPLE = 100_000
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -97,9 +99,10 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1) -> Dat
     a sequence is full. So only the last sequence of the table can be short. Returns one row per
     piece (PIECES).
 
-    Two numbers per document settle the layout: keys are cut into ranges at approximate
-    percentiles, each range's tokens are summed, and a range then knows where it starts. Ids are
-    shuffled once, to the range of their document, where rows stream in sorted order.
+    Two numbers per document settle the layout: keys are cut into ranges of about as many
+    tokens by SAMPLE of them, which only balances the work; each range's tokens are summed, and a range then
+    knows where it starts. Ids are shuffled once, to the range of their document, where rows stream
+    in sorted order.
 
     A null text is empty and gives just the end id; repeated rows are packed each; an empty table
     gives no rows; other columns are not read.
@@ -107,9 +110,12 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1) -> Dat
     spark = docs.sparkSession
     rows = settle(encoded(docs, path, end_id), "encoded")
     ranges = partitions(spark)
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = rows.agg(F.percentile_approx("key", shares or [0.5], 10_000)).first()[0]
-    bounds = np.array(cuts if shares and cuts else [], np.int64)
+    share = min(1.0, SAMPLE / max(rows.count(), 1))
+    sampled = rows.filter(F.pmod(F.xxhash64("row"), F.lit(1 << 30)) < F.lit(
+        int(share * (1 << 30)))).select("key", "n_tokens").toArrow().sort_by("key")
+    passed = np.cumsum(sampled["n_tokens"].to_numpy())
+    cuts = [passed[-1] * i // ranges for i in range(1, ranges)] if passed.size else []
+    bounds = sampled["key"].to_numpy()[np.searchsorted(passed, np.array(cuts, np.int64))]
 
     @F.pandas_udf("int")
     def range_of(key: pd.Series) -> pd.Series:

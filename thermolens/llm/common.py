@@ -25,9 +25,21 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def row_id(docs: DataFrame) -> Column:
+    """A number that tells rows of a scan apart, the same whenever the scan is repeated.
+
+    It depends on how files are split, which for small inputs would follow the number of executors
+    present; so that a lost executor changes nothing, that number is pinned for the session.
+    """
+    conf, key = docs.sparkSession.conf, "spark.sql.files.minPartitionNum"
+    if conf.get(key, None) is None:
+        conf.set(key, str(docs.sparkSession.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
 def with_row(docs: DataFrame, *columns: str, row: str = "row") -> DataFrame:
-    """The named columns and a number that tells repeated rows apart."""
-    return docs.select(*columns, F.monotonically_increasing_id().alias(row))
+    """The named columns and the number of each row."""
+    return docs.select(*columns, row_id(docs).alias(row))
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, weight: str) -> DataFrame:

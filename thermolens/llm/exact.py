@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermolens.llm.common import lookup, settle, whole_text
+from thermolens.llm.common import lookup, row_id, settle, whole_text
 from thermolens.session import scratch_path
 
 #: Characters that do not count when texts are compared.
@@ -39,7 +39,7 @@ class DigestIndex:
             F.col("doc_id").cast("long").alias("doc_id"),
             F.unhex(F.sha2(F.regexp_replace(whole_text(), BLANKS, ""), 256)).alias("digest"),
             F.length(whole_text()).alias("n_chars"),
-            F.monotonically_increasing_id().alias("row")), "digests")
+            row_id(docs).alias("row")), "digests")
         best = F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), "doc_id", "row"))
         groups = rows.groupBy("digest").agg(
             F.count(F.lit(1)).alias("group_size"), best.alias("best"))
@@ -65,7 +65,7 @@ class DigestIndex:
         """The rows of ``docs`` that stay, with all their columns."""
         mark = f"row_{uuid.uuid4().hex}"
         kept = self.judge(docs).filter("kept").select(F.col("row").alias(mark))
-        return (docs.withColumn(mark, F.monotonically_increasing_id())
+        return (docs.withColumn(mark, row_id(docs))
                 .join(kept, mark, "left_semi").drop(mark))
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermolens.llm.common import lookup, partitions, settle, whole_text, with_row
+from thermolens.llm.common import lookup, partitions, row_id, settle, whole_text, with_row
 from thermolens.llm.components import components
 from thermolens.llm.shingles import mix, shingles
 
@@ -235,5 +235,5 @@ def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each class does, with all columns."""
     mark = f"row_{uuid.uuid4().hex}"
     kept = near_duplicates(docs, threshold).filter("keeper").select(F.col("row").alias(mark))
-    return (docs.withColumn(mark, F.monotonically_increasing_id())
+    return (docs.withColumn(mark, row_id(docs))
             .join(kept, mark, "left_semi").drop(mark))

@@ -16,7 +16,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermolens.llm.common import lookup, partitions, settle, settled_path, whole_text, with_row
+from thermolens.llm.common import (
+    lookup, partitions, row_id, settle, settled_path, whole_text, with_row)
 from thermolens.llm.shingles import _BYTE, mix, powers
 
 LENGTH, GRAM = 200, 100
@@ -379,7 +380,7 @@ def remove_repeats(docs: DataFrame, batches: int = 2, name: str = "cut") -> Data
     spans = repeated_spans(numbered, batches).groupBy("row").agg(
         F.collect_list(F.array("start", "end")).alias("spans"))
     mark, found = f"row_{uuid.uuid4().hex}", f"spans_{uuid.uuid4().hex}"
-    told = docs.withColumn(mark, F.monotonically_increasing_id()).join(
+    told = docs.withColumn(mark, row_id(docs)).join(
         spans.select(F.col("row").alias(mark), F.flatten("spans").alias(found)),
         mark, "left")
     raw = whole_text().cast("binary")

@@ -1,6 +1,5 @@
 """Encoding, packing, quality, language and toxicity against libraries and brute force."""
 
-import hashlib
 import random
 import re
 import zlib

@@ -130,7 +130,8 @@ def predict(docs: DataFrame, langs: list[str], prototypes: np.ndarray) -> DataFr
     """All columns of ``docs``, lang_pred and score, the cosine with the nearest prototype (0 to 1).
 
     Only whole texts are read. A text that is null or has no letter, or any text when nothing was
-    learned, is ``und`` with score 0; columns of these names are replaced. Of equal cosines the language first in order is taken.
+    learned, is ``und`` with score 0; columns of these names are replaced. Of equal cosines the
+    language first in order is taken.
     """
     model = docs.sparkSession.sparkContext.broadcast((langs, prototypes.astype(np.float32)))
 

@@ -99,10 +99,10 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1) -> Dat
     a sequence is full. So only the last sequence of the table can be short. Returns one row per
     piece (PIECES).
 
-    Two numbers per document settle the layout: keys are cut into ranges of about as many
-    tokens by SAMPLE of them, which only balances the work; each range's tokens are summed, and a range then
-    knows where it starts. Ids are shuffled once, to the range of their document, where rows stream
-    in sorted order.
+    Two numbers per document settle the layout: keys are cut into ranges of about as many tokens
+    by SAMPLE of them, which only balances the work; each range's tokens are summed, and a range
+    then knows where it starts. Ids are shuffled once, to the range of their document, where rows
+    stream in sorted order.
 
     A null text is empty and gives just the end id; repeated rows are packed each; an empty table
     gives no rows; other columns are not read.

@@ -7,7 +7,8 @@ import numpy as np
 WORDS = 5
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_BYTE = np.random.default_rng(11).integers(0, 1 << 64, (2, 256), np.uint64)
+#: Two random codes for each byte, for two hash functions.
+BYTE_CODES = np.random.default_rng(11).integers(0, 1 << 64, (2, 256), np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -39,7 +40,8 @@ def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def hash_runs(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int = 0) -> np.ndarray:
     """A 64-bit hash of each run of bytes, from one running sum; ``kind`` picks the function."""
     up, down = powers(raw.size + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[kind][raw] * up[:raw.size])))
+    codes = BYTE_CODES[kind][raw]
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * up[:raw.size])))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from thermolens.llm.common import (
     lookup, partitions, row_id, settle, settled_path, whole_text, with_row)
-from thermolens.llm.shingles import _BYTE, mix, powers
+from thermolens.llm.shingles import BYTE_CODES, mix, powers
 
 LENGTH, GRAM = 200, 100
 _PLACE = np.uint64((1 << 20) - 1)
@@ -34,7 +34,7 @@ AT_ONCE = 1 << 20
 def _grams(raw: np.ndarray, size: int) -> np.ndarray:
     """A hash of the bytes at each place and the following ones, ``size`` in all."""
     up, down = powers(raw.size + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[0][raw] * up[:raw.size])))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_CODES[0][raw] * up[:raw.size])))
     return mix((sums[size:] - sums[:-size]) * down[:raw.size - size + 1])
 
 
@@ -57,7 +57,7 @@ def anchors(raw: np.ndarray) -> np.ndarray:
         windows = np.diff(np.concatenate((starts, [at.size])))
         up, down = powers(part.size + 1)
         sums = np.concatenate((np.zeros(1, np.uint64),
-                               np.cumsum(_BYTE[1][part] * up[:part.size])))
+                               np.cumsum(BYTE_CODES[1][part] * up[:part.size])))
         run = (sums[starts + windows + LENGTH - 1] - sums[starts]) * down[starts]
         # The least of many hashes is small; mixed again, suffixes spread evenly over the order.
         found.append(np.stack((mix(grams[at[starts].astype(np.int64)]),
@@ -365,8 +365,8 @@ def _remove(raw: pd.Series, spans: pd.Series) -> pd.DataFrame:
 
 
 def remove_repeats(docs: DataFrame, batches: int = 2, name: str = "cut") -> DataFrame:
-    """All columns of ``docs`` and a struct ``name``: kept (the remaining bytes), n_removed, n_spans (maximal
-    removed stretches) of each text.
+    """All columns of ``docs`` and a struct ``name``: kept (the remaining bytes), n_removed, n_spans
+    (maximal removed stretches) of each text.
 
     A byte goes if it lies in a string of LENGTH bytes that also starts elsewhere, in another or
     the same text, overlaps included; all copies go, the first too. Texts are judged as they came,

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from thermolens.functions.labels import wall_clock
 from thermolens.functions.numeric import band, rounded_half_away
-from thermolens.operators import curves, evaluate, features, profile, rules, scoring, split
+from thermolens.operators import curves, evaluate, features, rules, scoring, split
 from thermolens.operators.correlation import class_association, correlation_matrix
-from thermolens.schema import (ENGINEERED, ID, IMPUTED, LABELS, MODEL_FEATURES, RAW_SCHEMA,
+from thermolens.schema import (ENGINEERED, ID, IMPUTED, MODEL_FEATURES, RAW_SCHEMA,
                                SCORING_DEFAULTS, SCORING_SCHEMA, VECTOR_FEATURES)
 from thermolens.sources.guards import check_training_input, require_columns
 from thermolens.sources.tables import rows_to_table

@@ -23,8 +23,10 @@ BANDS = {
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str] = IMPUTED + PHYSICAL) -> DataFrame:
-    """The given columns as finite doubles or null."""
-    return df.withColumns({c: finite(c) for c in columns if c in df.columns})
+    """The given columns as finite doubles or null. Text is parsed in a projection of its own."""
+    kinds = dict(df.dtypes)
+    text = {c: F.col(c).try_cast("double") for c in columns if kinds.get(c) == "string"}
+    return df.withColumns(text).withColumns({c: finite(c) for c in columns if c in kinds})
 
 
 def add_deltas(df: DataFrame) -> DataFrame:

@@ -233,7 +233,8 @@ def rank_boundary(df: DataFrame, order: Sequence[str], wanted: Callable[[Column]
         picked = (rank_counted(value_counts(scope, scope_keys, column), scope_keys, column,
                                _need_rule) if most <= limit
                   else select_ranks(scope, scope_keys, column, _need_rule, limit))
-        known = keep(picked.drop("n").join(F.broadcast(known.table.select(*keys, "n")), keys).select(
+        sized = lookup_join(picked.drop("n"), known.table.select(*keys, "n"), keys, groups, "inner")
+        known = keep(sized.select(
             *keys, "n", *found, F.col("low").alias(f"_b{i}"),
             (F.col("_need") - F.col("below")).alias("_need"), F.col("equal").alias("_ties")),
             groups)

@@ -100,8 +100,8 @@ def add_stratified_split(df: DataFrame, share: float = 0.8, label: str = TARGET,
     order = ("_hash", key)
     bound, classes = rank_boundary(hashed, order, lambda n: F.floor(n * F.lit(share)), [label],
                                    limit)
-    joined = lookup_join(hashed, bound.table.select(label, "_b0", "_b1", F.col("n").alias("_rows")), [label], classes,
-                         weight="_rows")
+    table = bound.table.select(label, "_b0", "_b1", F.col("n").alias("_rows"))
+    joined = lookup_join(hashed, table, [label], classes, weight="_rows")
     inside = within_boundary(hashed, order, [F.col("_b0"), F.col("_b1")])
     split = F.when(F.coalesce(inside, F.lit(False)), "train").otherwise("test")
     return joined.withColumn("split", split).select(*df.columns, "split")

@@ -8,7 +8,6 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from thermolens.operators.correlation import association_of, correlation_matrix
 from thermolens.operators.evaluate import classification_metrics

@@ -49,6 +49,7 @@ def _encode_words(path: str):
             rest = [c for c in batch.schema.names if c != "word"]
             yield pa.RecordBatch.from_arrays(
                 [*(batch[c] for c in rest), pa.array(out, pa.binary())], [*rest, "ids"])
+        bpe.forget()
 
     return encode
 

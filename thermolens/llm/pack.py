@@ -84,6 +84,7 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part["row"], part["doc_id"], pa.array(n), pa.array(key),
                      pa.array(packed, pa.binary())], ["row", "doc_id", "n_tokens", "key", "ids"])
+        bpe.forget()
 
     numbered = with_row(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                     whole_text().alias("text")), "doc_id", "text")

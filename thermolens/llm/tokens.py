@@ -26,7 +26,7 @@ PLAIN_SPLIT = re.compile(
 class WordBpe:
     """Encodes words with a bounded memory of words met before."""
 
-    def __init__(self, path: str, remember: int = 1 << 20) -> None:
+    def __init__(self, path: str, remember: int = 1 << 19) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.remember = remember
@@ -70,6 +70,9 @@ class WordBpe:
         except KeyError:  # the memory was emptied on the way
             return b"".join([known[w] if w in known else self.word(w) for w in words])
 
+    def forget(self) -> None:
+        self.words, self.parts = {}, {}
+
     def ids(self, packed: bytes) -> np.ndarray:
         return np.frombuffer(packed, self.dtype)
 
@@ -77,8 +80,9 @@ class WordBpe:
 _LOADED: dict[tuple[str, int], WordBpe] = {}
 
 
-def encoder(path: str, remember: int = 1 << 20) -> WordBpe:
-    """This Python worker's encoder, loaded once."""
+def encoder(path: str, remember: int = 1 << 19) -> WordBpe:
+    """This Python worker's encoder, loaded once. Tasks ``forget`` what they met when they end, as
+    the worker lives on for stages that need the memory."""
     if (path, remember) not in _LOADED:
         _LOADED[path, remember] = WordBpe(path, remember)
     return _LOADED[path, remember]

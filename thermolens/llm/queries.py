@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermolens.llm import bpe, exact, language, near, pack, quality, suffix, toxicity, urls
+from thermolens.llm import bpe, exact, language, lines, near, pack, quality, suffix, toxicity, urls
 
 TOKENIZER = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,11 @@ def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), URL_RULES)
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.drop_boilerplate(table(spark, folder, "pages")).select(
+        "page_id", "host", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn(
         "held_out", F.coalesce(toxicity.fold("doc_id", 4) == 2, F.lit(False)))
@@ -83,6 +88,7 @@ QUERIES: dict[str, Query] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
     "op5_url_filters": op5_url_filters,
+    "op6_line_dedup": op6_line_dedup,
     "op7_language_id": op7_language_id,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,

@@ -57,6 +57,58 @@ def test_aliases_share_decisions_but_an_allow_comes_first(spark, tmp_path):
     assert urls.judge(pages.limit(0), URL_RULES).count() == 0
 
 
+def refresh(content):
+    return f"<meta http-equiv='refresh' content={content}>"
+
+
+#: url and html of a page; True if its link leads to a blocked url, told by hand.
+FORMS = [
+    ("http://a1.org/", refresh("\"0; url='http://b.net/es/1'\""), True),
+    ("http://a2.org/", refresh("'0;URL=\"http://b.net/es/2\"'"), True),
+    ("http://a3.org/", refresh("0;url='http://b.net/es/3'"), True),
+    ("http://a4.org/", refresh('"0; url=&quot;http://b.net/es/4&quot;"'), True),
+    ("http://a5.org/", refresh('"0; url=http://b.net/es/5"'), True),
+    ("http://a6.org/", refresh('"30"'), False),
+    # an alias of a page that is blocked through its own link
+    ("http://c1.org/?a=1&b=2", canonical("http://b.net/fr/1"), True),
+    ("http://c2.org/", canonical("http://c1.org/?a=1&amp;b=2"), True),
+    ("http://c3.org/", canonical("http://c1.org/?a=1&#38;b=2"), True),
+    ("http://c4.org/", canonical("http:&#x2F;&#x2f;c1.org/?a=1&b=2"), True),
+    ("http://c5.org/?a=1&copy=2&reg=3", canonical("http://b.net/fr/2"), True),
+    ("http://c6.org/", canonical("http://c5.org/?a=1&copy=2&amp;reg=3"), True),
+    ("http://c7.org/", canonical("http://c1.org/?a=1&amp;amp;b=2"), False),
+    ("http://d.net/a/b/page", canonical("../../es/1"), True),
+    ("http://d.org/a/b/page", canonical("http://b.net/fr/3"), True),
+    ("http://d.org/a/c/page", canonical(".././b/page"), True),
+    ("http://d.org/x", canonical("/a/q/./../b/page"), True),
+    ("http://d.org/y", canonical("../../a/b/page"), True),
+    ("http://d.org/a/b/z", canonical("../b/"), False),
+    ("http://d1.org/a/b/", canonical("http://b.net/fr/4"), True),
+    ("http://d1.org/a/b/z", canonical("."), True),
+    ("http://d1.org/a/b/c/z", canonical(".."), True),
+    ("http://d2.org/a/../b", canonical("http://b.net/fr/5"), True),
+    ("http://d3.org/", canonical("http://d2.org/a/../b"), True),
+    ("http://d4.org/", canonical("//d2.org/b"), True),
+    ("http://e.org/list.html?x=1", canonical("http://b.net/fr/6"), True),
+    ("http://e.org/list.html?x=2", canonical("?x=1"), True),
+    ("http://e.org/list.html?x=3", canonical("?u=http://b.net/fr/"), False),
+    ("http://e.org/other.html", canonical("?x=1"), False),
+    ("http://e1.org/p?x=1", canonical("http://b.net/fr/7") + canonical("#top"), True),
+    ("http://e1.org/p", canonical("#top"), False),
+    ("http://f.org/o'x", canonical("http://b.net/fr/8"), True),
+    ("http://f1.org/", canonical("http://f.org/o'x"), True),
+    ("http://f2.org/", canonical("mailto:a@b.net"), False),
+]
+
+
+def test_every_form_of_link_makes_an_alias(spark):
+    pages = spark.createDataFrame([(i, url, html) for i, (url, html, _) in enumerate(FORMS)],
+                                  "page_id long, url string, html string")
+    told = {r.page_id: r.verdict for r in urls.judge(pages, URL_RULES).collect()}
+    assert {FORMS[i][0]: v for i, v in told.items()} == {
+        url: "block" if blocked else "allow" for url, _, blocked in FORMS}
+
+
 def test_lines_common_to_a_host_go(spark, tmp_path):
     rows = [(i, f"http://A.org/{i}", f"<p>Menu</p><style>x</style><p>own {i}</p><b> Menu </b>"
              + ("<i>some</i>" if i < 3 else ""), "h", "l") for i in range(10)]

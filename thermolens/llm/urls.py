@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import html
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from html.entities import html5
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from thermolens.llm.common import lookup, settle
 from thermolens.llm.components import components
 
 MOST_RULES = 1000
+#: A name, and a value in double quotes, in single quotes or in none.
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)|'([^']*)|([^\s>]+))""")
+#: What follows url= in the content of a refresh tag, its quotes being optional.
+REFRESH = re.compile(r"""(?i)url\s*=\s*(?:"([^"]*)|'([^']*)|(\S+))""")
+#: In an attribute, a name without semicolon is no entity before = or a letter or digit.
+ENTITY = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*(?:;|(?![=A-Za-z0-9])))")
 
 
 @dataclass(frozen=True)
@@ -50,33 +61,77 @@ def best_rule(rules: list[Rule], host: Column, path: Column) -> Column:
     return found
 
 
+def without_dots(path: Column) -> Column:
+    """The path with its ``.`` and ``..`` segments resolved."""
+    steps = F.split(path, "/", -1)
+    kept = F.aggregate(
+        F.slice(steps, 2, F.size(steps)), F.array().cast("array<string>"),
+        lambda done, step: F.when(step == ".", done)
+        .when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .otherwise(F.concat(done, F.array(step))))
+    end = F.when(F.element_at(steps, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(
+        F.array().cast("array<string>"))
+    return F.when(path.rlike(r"^/(?:.*/)?\.\.?(?:/|$)"), F.concat(
+        F.lit("/"), F.array_join(F.concat(kept, end), "/"))).otherwise(path)
+
+
 def node_of(url: Column) -> Column:
-    """What a url denotes: host, path and query, without scheme and fragment."""
-    host, _ = split_url(url)
-    rest = F.regexp_extract(url, r"^.*?://[^/?#]*([^#]*)", 1)
-    return F.when(F.instr(url, "://") > 0, F.concat(host, F.regexp_replace(rest, "^$", "/")))
+    """What a url denotes: host, path without dot segments and query, without scheme and
+    fragment."""
+    host, path = split_url(url)
+    query = F.regexp_extract(url, r"^.*?://[^?#]*([^#]*)", 1)
+    return F.when(F.instr(url, "://") > 0, F.concat(
+        host, F.when(path == "", "/").otherwise(without_dots(path)), query))
 
 
 def target_of(url: Column, link: Column) -> Column:
-    """An absolute url for a link found on a page."""
+    """An absolute url, without dot segments, for a link found on a page; null for a link of
+    another kind, such as ``mailto:``."""
     root = F.regexp_extract(url, r"^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    return (F.when(F.instr(link, "://") > 0, link)
+    _, path = split_url(url)
+    path = F.when(path == "", "/").otherwise(path)
+    query = F.regexp_extract(url, r"^.*?://[^?#]*([^#]*)", 1)
+    made = (F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
             .when(link.startswith("//"), F.concat(F.lit("http:"), link))
             .when(link.startswith("/"), F.concat(root, link))
-            .otherwise(F.concat(F.regexp_replace(folder, "([^/])$", "$1/"), link)))
+            .when(link.startswith("?"), F.concat(root, path, link))
+            .when(link.startswith("#"), F.concat(root, path, query, link))
+            .otherwise(F.concat(root, F.regexp_extract(path, r"^.*/", 0), link)))
+    _, path = split_url(made)
+    return F.concat(F.regexp_extract(made, r"^(.*?://[^/?#]*)", 1), without_dots(path),
+                    F.regexp_extract(made, r"^.*?://[^?#]*(.*)", 1))
+
+
+def link_of(tag: str) -> str:
+    """The link of a canonical or refresh tag, as the page means it: without quotes, entities and
+    the white space that urls do not have; empty if there is none."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(tag.removesuffix(">")):
+        found.setdefault(name.lower(), ENTITY.sub(
+            lambda m: html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0],
+            "".join(values)))
+    link = found.get("href")
+    if link is None:
+        refresh = REFRESH.search(found.get("content", ""))
+        link = "".join(x or "" for x in refresh.groups()) if refresh else ""
+    return re.sub(r"[\t\r\n]", "", link).strip()
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """url and target of every canonical link and every redirect by a refresh tag."""
+    @F.pandas_udf("string")
+    def links_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for tags in batches:
+            yield pd.Series([link_of(t) for t in tags], dtype=object)
+
     tags = F.filter(
         F.regexp_extract_all(F.coalesce(F.col("html").cast("string"), F.lit("")),
                              F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0)),
         lambda t: F.lower(t).rlike(r"rel\s*=\s*[\"']?canonical|http-equiv\s*=\s*[\"']?refresh"))
-    link = F.regexp_extract("tag", r"(?i)(?:href\s*=\s*[\"']?|url\s*=\s*)([^\"'\s>]+)", 1)
     url = F.col("url").cast("string")
     return (pages.select(url.alias("url"), F.explode(tags).alias("tag"))
-            .select("url", link.alias("link")).filter("link <> ''")
+            .select("url", links_of("tag").alias("link")).filter("link <> ''")
             .select("url", target_of(F.col("url"), F.col("link")).alias("target")))
 
 

@@ -179,6 +179,22 @@ def test_the_machine_learns_a_pair_of_terms():
     assert np.mean(alone) < np.mean(right)
 
 
+def test_the_machine_learns_a_pair_whose_terms_alone_tell_nothing():
+    r = random.Random(7)
+    rows = []
+    for k in range(3000):
+        insult, group = k % 2, k // 2 % 2  # each stands in half of the documents of both labels
+        words = [r.choice("abcdefghij") + r.choice("abcdefghij") + "w" for _ in range(12)]
+        words += ["insultus"] * insult + ["groupus"] * group
+        rows.append((toxicity.terms_of(" ".join(words), {}), float(insult == group)))
+    r.shuffle(rows)
+    machine = toxicity.fit([t for t, _ in rows[:2400]], np.array([y for _, y in rows[:2400]]),
+                           epochs=20)
+    assert np.isin(toxicity.terms_of("insultus groupus", {}), machine.terms).all()
+    right = [(machine.score(t) >= 0.5) == bool(y) for t, y in rows[2400:]]
+    assert np.mean(right) > 0.97
+
+
 def test_scores_of_toxic_documents(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")

@@ -19,6 +19,8 @@ WORD = re.compile(r"[^\W\d_]+")
 SPACE = 1 << 20
 MEMORY = 400_000
 FACTORS = 8
+#: The value of a term whose share hardly differs between the labels; that of all others is 1.
+HELD_BACK = 0.3
 
 
 def terms_of(text: str, known: dict[str, tuple[int, ...]]) -> np.ndarray:
@@ -44,6 +46,7 @@ class Machine:
     bias: float
     linear: np.ndarray
     factors: np.ndarray
+    values: np.ndarray | None = None  # of the terms; 1 if not given
 
     def score(self, terms: np.ndarray) -> float:
         at = np.searchsorted(self.terms, terms)
@@ -51,21 +54,29 @@ class Machine:
         at = at[self.terms[at] == terms] if self.terms.size else at[:0]
         if not at.size:
             return 1 / (1 + np.exp(-self.bias))
-        x = at.size ** -0.25
-        v = self.factors[at] * x
+        value = np.ones(at.size) if self.values is None else self.values[at]
+        x = value * length(value @ value)
+        v = self.factors[at] * x[:, None]
         pairs = (v.sum(0) ** 2 - (v ** 2).sum(0)).sum() / 2
-        y = self.bias + self.linear[at].sum() * x + pairs
+        y = self.bias + self.linear[at] @ x + pairs
         return float(1 / (1 + np.exp(-np.clip(y, -30, 30))))
 
 
+def length(squares: float) -> float:
+    """What the values of a document's terms are multiplied by, so that long ones weigh no more."""
+    return max(squares, 1) ** -0.25
+
+
 def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = 6,
         rate: float = 0.1, penalty: float = 1e-4, least: int = 3, contrast: float = 4.0,
         seed: int = 5) -> Machine:
     """Logistic loss, minibatches, AdaGrad.
 
-    Terms in fewer than ``least`` documents are left out, and those whose share of documents
-    differs between the labels by less than ``contrast`` standard errors: they only help to learn
-    single documents by heart.
+    Terms in fewer than ``least`` documents are left out. Those whose share of documents differs
+    between the labels by less than ``contrast`` standard errors could help to learn single
+    documents by heart, but may matter in pairs: they stay, with the value HELD_BACK and small
+    steps, and enter after ``epochs`` rounds with the others alone, so they learn what is left to
+    explain, in as many rounds again.
     """
     every = np.concatenate([*documents, np.empty(0, np.int32)])
     size = [d.size for d in documents]
@@ -75,13 +86,15 @@ def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS,
     overall = seen / max(labels.size, 1)
     error = np.sqrt(overall * (1 - overall) * (1 / sides).sum()) + 1e-9
     apart = np.abs(toxic / sides[0] - (seen - toxic) / sides[1]) / error
-    terms = terms[(seen >= least) & (apart >= contrast)]
+    often = seen >= least
+    terms, plain = terms[often], apart[often] >= contrast
+    values = np.where(plain, 1.0, HELD_BACK)
     random = np.random.default_rng(seed)
     share = (labels.sum() + 0.5) / (labels.size + 1)
     bias = float(np.log(share / (1 - share)))
     table = np.zeros((terms.size, 1 + factors))
     table[:, 1:] = random.normal(0, 0.02, (terms.size, factors))
-    grown = np.full(table.shape, 1e-3)
+    grown = np.where(plain, 1e-3, 1.0)[:, None].repeat(1 + factors, 1)
     grown_bias = 1.0
     inside = []
     for d in documents:
@@ -89,31 +102,33 @@ def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS,
         at[at == terms.size] = 0
         inside.append(at[terms[at] == d] if terms.size else at[:0])
     inside = [d.astype(np.int32) for d in inside]
-    for _ in range(epochs):
-        order = random.permutation(labels.size)
-        for k in range(0, order.size, 128):
-            batch = order[k:k + 128]
-            size = np.array([inside[i].size for i in batch])
-            flat = np.concatenate([inside[i] for i in batch])
-            owner = np.repeat(np.arange(batch.size), size)
-            used, local = np.unique(flat, return_inverse=True)
-            x = np.repeat(np.maximum(size, 1) ** -0.25, size)
-            rows = table[used][local]
-            add = lambda w: np.bincount(owner, w, batch.size)  # noqa: B023, E731
-            v = rows[:, 1:] * x[:, None]
-            total = np.stack([add(v[:, f]) for f in range(factors)], 1)
-            squares = add((v ** 2).sum(1))
-            y = bias + add(rows[:, 0] * x) + ((total ** 2).sum(1) - squares) / 2
-            error = 1 / (1 + np.exp(-np.clip(y, -30, 30))) - labels[batch]
-            scaled = (error[owner] * x)[:, None]
-            slope = np.concatenate([scaled, scaled * (total[owner] - v)], 1)
-            step = np.stack([np.bincount(local, slope[:, f], used.size)
-                             for f in range(1 + factors)], 1) + penalty * table[used]
-            grown[used] += step ** 2
-            table[used] -= rate * step / np.sqrt(grown[used])
-            grown_bias += error.sum() ** 2
-            bias -= rate * error.sum() / np.sqrt(grown_bias)
-    return Machine(terms, bias, table[:, 0], table[:, 1:].copy())
+    scale = np.array([length(values[d] @ values[d]) for d in inside])
+    for held in [d[plain[d]] for d in inside], inside:
+        for _ in range(epochs):
+            order = random.permutation(labels.size)
+            for k in range(0, order.size, 128):
+                batch = order[k:k + 128]
+                size = np.array([held[i].size for i in batch])
+                flat = np.concatenate([held[i] for i in batch])
+                owner = np.repeat(np.arange(batch.size), size)
+                used, local = np.unique(flat, return_inverse=True)
+                x = np.repeat(scale[batch], size) * values[flat]
+                rows = table[used][local]
+                add = lambda w: np.bincount(owner, w, batch.size)  # noqa: B023, E731
+                v = rows[:, 1:] * x[:, None]
+                total = np.stack([add(v[:, f]) for f in range(factors)], 1)
+                squares = add((v ** 2).sum(1))
+                y = bias + add(rows[:, 0] * x) + ((total ** 2).sum(1) - squares) / 2
+                error = 1 / (1 + np.exp(-np.clip(y, -30, 30))) - labels[batch]
+                scaled = (error[owner] * x)[:, None]
+                slope = np.concatenate([scaled, scaled * (total[owner] - v)], 1)
+                step = np.stack([np.bincount(local, slope[:, f], used.size)
+                                 for f in range(1 + factors)], 1) + penalty * table[used]
+                grown[used] += step ** 2
+                table[used] -= rate * step / np.sqrt(grown[used])
+                grown_bias += error.sum() ** 2
+                bias -= rate * error.sum() / np.sqrt(grown_bias)
+    return Machine(terms, bias, table[:, 0], table[:, 1:].copy(), values)
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: int | None = 0, folds: int = 5,
@@ -148,19 +163,19 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int | None = 0, folds: i
         rows.sort(key=lambda r: (r["doc_id"], r["terms"]))
         m = fit([np.frombuffer(r["terms"], np.int32) for r in rows],
                 np.array([r["toxic"] for r in rows], float)) if rows else Machine(
-            np.empty(0, np.int32), 0.0, np.empty(0), np.empty((0, FACTORS)))
-        parts = (m.terms.astype(np.int32), np.float64(m.bias), m.linear, m.factors)
+            np.empty(0, np.int32), 0.0, np.empty(0), np.empty((0, FACTORS)), np.empty(0))
+        parts = (m.terms.astype(np.int32), np.float64(m.bias), m.linear, m.factors, m.values)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([p.tobytes()], pa.binary()) for p in parts], list("tblf"))
+            [pa.array([p.tobytes()], pa.binary()) for p in parts], list("tblfv"))
 
     model = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          whole_text().alias("text"))
              .join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
              .mapInArrow(hashed, "doc_id long, toxic int, terms binary").repartition(1)
-             .mapInArrow(learn, "t binary, b binary, l binary, f binary").first())
+             .mapInArrow(learn, "t binary, b binary, l binary, f binary, v binary").first())
     terms, linear = np.frombuffer(model.t, np.int32), np.frombuffer(model.l)
     return Machine(terms, float(np.frombuffer(model.b)[0]), linear,
-                   np.frombuffer(model.f).reshape(terms.size, FACTORS))
+                   np.frombuffer(model.f).reshape(terms.size, FACTORS), np.frombuffer(model.v))
 
 
 def fold(column: str, folds: int):

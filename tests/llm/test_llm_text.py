@@ -208,3 +208,15 @@ def test_scores_of_toxic_documents(spark, folder):
     assert len({r.score for r in toxicity.score(empty, machine).collect()}) == 1
     blank = toxicity.train(docs, labels.filter("toxic > 5"))
     assert {r.score for r in toxicity.score(empty, blank).collect()} == {0.5}
+
+
+def test_a_document_with_many_rows_is_fitted_once(spark):
+    r = random.Random(4)
+    made = [planted(r, i) for i in range(200)]
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(made)],
+                                   "doc_id long, toxic int")
+    texts = [(i, t) for i, (t, _) in enumerate(made)]
+    once, often = (toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels,
+                                  held_out=None) for rows in (texts, texts + [texts[7]] * 300))
+    assert once.bias == often.bias and (once.terms == often.terms).all()
+    assert (once.linear == often.linear).all() and (once.factors == often.factors).all()

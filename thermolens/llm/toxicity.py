@@ -136,8 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int | None = 0, folds: i
     """Fit on at most about ``sample`` labelled documents, chosen by a hash of doc_id.
 
     Rows whose crc32(doc_id as text) mod ``folds`` is ``held_out`` are not used. Terms are hashed
-    in Spark; one task fits the machine on the bounded sample. Several labels of a document count
-    as the largest; null labels and ids are not used. Without labelled rows every score is 0.5.
+    in Spark; one task fits the machine on the bounded sample, in which a doc_id stands once,
+    however many rows it has (the one with the least terms as bytes). Several labels of a document
+    count as the largest; null labels and ids are not used. Without labelled rows every score is 0.5.
     """
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(
@@ -171,7 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int | None = 0, folds: i
     model = (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                          whole_text().alias("text"))
              .join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
-             .mapInArrow(hashed, "doc_id long, toxic int, terms binary").repartition(1)
+             .mapInArrow(hashed, "doc_id long, toxic int, terms binary")
+             .groupBy("doc_id", "toxic").agg(F.min("terms").alias("terms")).repartition(1)
              .mapInArrow(learn, "t binary, b binary, l binary, f binary, v binary").first())
     terms, linear = np.frombuffer(model.t, np.int32), np.frombuffer(model.l)
     return Machine(terms, float(np.frombuffer(model.b)[0]), linear,

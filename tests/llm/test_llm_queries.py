@@ -131,6 +131,15 @@ def test_lines_common_to_a_host_go(spark, tmp_path):
     assert lines.drop_boilerplate(pages.limit(0)).count() == 0
 
 
+def test_lines_are_trimmed_of_tabs_and_carriage_returns(spark):
+    ends = ("Menu\n", "\tMenu\r\n", "Menu\r\n\t\r\n", " \t Menu\x0b\x0c\n")
+    pages = spark.createDataFrame(
+        [(i, f"http://a.org/{i}", f"<p>{ends[i] if i < 4 else ''}own {i}\r\n") for i in range(10)],
+        "page_id long, url string, html string")
+    found = {tuple(r) for r in lines.drop_boilerplate(pages).collect()}
+    assert found == {(i, "a.org", 1 + (i < 4), int(i < 4), f"own {i}") for i in range(10)}
+
+
 def test_all_queries_are_registered():
     numbers = Counter(re.match(r"op(\d+)_", n)[1] for n in QUERIES)
     assert numbers == Counter(map(str, range(1, 11)))

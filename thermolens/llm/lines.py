@@ -8,12 +8,17 @@ from thermolens.llm.common import lookup, row_id, settle
 from thermolens.llm.urls import split_url
 
 
+#: What lines are trimmed of: the white space of ASCII.
+BLANKS = " \t\n\x0b\x0c\r"
+
+
 def page_lines(html: Column) -> Column:
     """The text lines of a page: what stands between tags, trimmed, without scripts and styles."""
     text = F.coalesce(html.cast("string"), F.lit(""))
     text = F.regexp_replace(text, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "\n")
     text = F.regexp_replace(text, r"<[^>]*>", "\n")
-    return F.filter(F.transform(F.split(text, r"\n"), lambda line: F.trim(line)), lambda line: line != "")
+    return F.filter(F.transform(F.split(text, r"\n"), lambda line: F.trim(line, F.lit(BLANKS))),
+                    lambda line: line != "")
 
 
 def _digest(line: Column) -> Column:

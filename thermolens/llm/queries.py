@@ -7,9 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from thermolens.llm import bpe, exact, language, lines, near, pack, quality, suffix, toxicity, urls
+from thermolens.llm import (
+    bpe, byte_bpe, exact, language, lines, near, pack, quality, suffix, toxicity, urls)
 
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -82,6 +84,15 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    encoded = byte_bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_bpe": op2_bpe,
@@ -93,4 +104,5 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op13_byte_bpe": op13_byte_bpe,
 }

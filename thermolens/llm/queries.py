@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from thermolens.llm import (
-    bpe, byte_bpe, exact, language, lines, near, pack, quality, suffix, toxicity, urls)
+    align, bpe, byte_bpe, exact, language, lines, near, pack, quality, suffix, toxicity, urls)
 
 TOKENIZER = "word_bpe_49k.json"
 RANKS = "byte_bpe_50k.tiktoken"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -84,6 +85,11 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.summary(table(spark, folder, "documents"),
+                         *map(public_tokenizers.path, ALIGNED))
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     encoded = byte_bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -104,5 +110,6 @@ QUERIES: dict[str, Query] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
+    "op11_token_alignment": op11_token_alignment,
     "op13_byte_bpe": op13_byte_bpe,
 }

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from thermolens.llm import (
-    align, bpe, byte_bpe, exact, language, lines, near, pack, quality, suffix, toxicity, urls)
+    align, bpe, byte_bpe, exact, language, lines, near, pack, quality, suffix, toxicity, urls,
+    whitening)
 
 TOKENIZER = "word_bpe_49k.json"
 RANKS = "byte_bpe_50k.tiktoken"
@@ -90,6 +91,10 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
                          *map(public_tokenizers.path, ALIGNED))
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
     encoded = byte_bpe.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
@@ -111,5 +116,6 @@ QUERIES: dict[str, Query] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_toxicity": op10_toxicity,
     "op11_token_alignment": op11_token_alignment,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_byte_bpe": op13_byte_bpe,
 }

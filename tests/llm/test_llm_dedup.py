@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from thermolens.llm import exact, near, suffix
 from thermolens.llm.components import components
@@ -52,6 +53,40 @@ def test_exact_keep_returns_whole_rows(spark, docs, rows, no_docs):
     assert exact.fresh_index(spark).dedup(no_docs).count() == 0
 
 
+def test_keep_loses_no_text_of_a_shuffled_table(spark, folder):
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    try:
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        docs = docs.withColumn("wide", F.repeat("text", 3)).dropDuplicates(["doc_id"])
+        texts = Counter(squeezed(r.text) for r in docs.select("text").collect())
+        kept = [squeezed(r.text) for r in exact.fresh_index(spark).keep(docs).select(
+            "text").collect()]
+        assert sorted(kept) == sorted(texts)
+        once = near.keep_one(docs).select("doc_id").collect()
+        assert len(once) == len(set(once)) > 0.5 * len(texts)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_a_batch_can_be_repeated_by_its_name(spark, docs):
+    index = exact.fresh_index(spark, docs)
+    first = index.dedup(docs, "monday").collect()  # say its result was never written
+    assert sorted(map(tuple, index.dedup(docs, "monday").collect()), key=str) == sorted(
+        map(tuple, first), key=str)
+    assert spark.read.parquet(index.path).count() == len({r.text_sha256 for r in first})
+    assert not any(r.kept for r in index.dedup(docs, "tuesday").collect())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("digest_index")]
+    assert exact.DigestIndex(spark, index.path, index.buckets).buckets == index.buckets
+    with pytest.raises(ValueError, match="buckets"):
+        exact.DigestIndex(spark, index.path, index.buckets + 1)
+    assert exact.DigestIndex(spark, f"{index.path}-2", expected=10 ** 8).buckets == 100
+
+
 def word_sets(rows):
     def shingles(text):
         words = (text or "").encode().split()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from thermolens.llm.common import partitions, whole_text, with_row
+from thermolens.llm.common import partitions, steady, whole_text, with_row
 from thermolens.llm.shingles import hash_runs, words_of
 from thermolens.llm.tokens import encoder
 
@@ -151,8 +151,10 @@ def encode(docs: DataFrame, path: str, limit: int = 1 << 20, sample: int = 50_00
     once, and sent to its text and position, where ids fill the gaps in order.
 
     Null and empty texts have no ids; repeated rows give repeated results; other columns are not
-    read. ``docs`` must be a repeatable scan, as it is read three times.
+    read, and an empty table gives no rows. Rows that do not come straight from files are written
+    first, as they are read three times.
     """
+    docs = steady(docs)
     parts = partitions(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(hot_words(docs, path, limit, sample))
     numbered = with_row(docs.select(F.col("doc_id").cast("long").alias("doc_id"),

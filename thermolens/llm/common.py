@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+from contextlib import redirect_stdout
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from thermolens.session import scratch_path
@@ -25,6 +28,22 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def steady(docs: DataFrame) -> DataFrame:
+    """``docs`` itself if its rows come straight from files, else a written copy.
+
+    Operators that number the rows of a table in more than one job need this: behind a shuffle, a
+    limit or a cache, rows may come in another order each time, and numbers would not agree.
+    """
+    plan = io.StringIO()
+    with redirect_stdout(plan):
+        docs.explain()
+    text = plan.getvalue()
+    if "FileScan" in text and not any(
+            x in text for x in ("Exchange", "InMemory", "ExistingRDD", "Limit")):
+        return docs
+    return settle(docs, "input")
+
+
 def row_id(docs: DataFrame) -> Column:
     """A number that tells rows of a scan apart, the same whenever the scan is repeated.
 

@@ -10,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from thermolens.llm.common import lookup, partitions, row_id, settle, whole_text, with_row
+from thermolens.llm.batches import by_bytes
+from thermolens.llm.common import lookup, partitions, row_id, settle, steady, whole_text, with_row
 from thermolens.llm.components import components
 from thermolens.llm.shingles import mix, shingles
 
@@ -57,14 +58,14 @@ def prefix_depth(threshold: float, target: float) -> int:
 def features(docs: DataFrame) -> DataFrame:
     """row, doc_id, copy (digest of the set of shingles, null without words), labels (packed)."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (p for b in batches for p in by_bytes(b, "text", 1 << 20)):
             copies, labels = [], []
-            for text in batch["text"]:
+            for text in part["text"]:
                 found = shingles(text.as_py())
                 copies.append(hashlib.md5(found.tobytes()).digest() if found.size else None)
                 labels.append(forest_labels(found).tobytes() if found.size else None)
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], batch["doc_id"], pa.array(copies, pa.binary()),
+                [part["row"], part["doc_id"], pa.array(copies, pa.binary()),
                  pa.array(labels, pa.binary())], ["row", "doc_id", "copy", "labels"])
 
     return docs.mapInArrow(read, "row long, doc_id long, copy binary, labels binary")
@@ -165,10 +166,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, target: float = 0.9
 
     Words are runs of bytes without ASCII white space; a text of fewer than five words is one
     shingle. A null, empty or blank text has no shingles, no links and its own class. Repeated
-    rows are copies. An empty table gives no rows; other columns are not read. ``docs`` must be a
-    repeatable scan, as it is read twice.
+    rows are copies. An empty table gives no rows; other columns are not read. Rows that do not come
+    straight from files are written first, as they are read twice.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, steady(docs)
     numbered = with_row(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                                     whole_text().alias("text")), "doc_id", "text")
     seen = settle(features(numbered), "features")
@@ -194,8 +195,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, target: float = 0.9
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, len(batch), 512):
-                part = batch.slice(k, 512)
+            for part in by_bytes(batch, "text", 1 << 20):
                 found = [shingles(t.as_py()).tobytes() for t in part["text"]]
                 yield pa.RecordBatch.from_arrays(
                     [*(part[c] for c in ("row", "set", "weight", "block", "blocks")),
@@ -232,8 +232,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, target: float = 0.9
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each class does, with all columns."""
-    mark = f"row_{uuid.uuid4().hex}"
+    """The rows of ``docs`` that stay when one document of each class does, with all columns.
+
+    Which one stays, nulls, ties, repeated rows and empty tables: see ``near_duplicates``. A text
+    without words is its own class and stays.
+    """
+    mark, docs = f"row_{uuid.uuid4().hex}", steady(docs)
     kept = near_duplicates(docs, threshold).filter("keeper").select(F.col("row").alias(mark))
     return (docs.withColumn(mark, row_id(docs))
             .join(kept, mark, "left_semi").drop(mark))

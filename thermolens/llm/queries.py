@@ -22,7 +22,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return exact.fresh_index(spark).dedup(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
+    return exact.fresh_index(spark, docs).dedup(docs)
 
 
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:

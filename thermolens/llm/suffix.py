@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from thermolens.llm.common import (
-    lookup, partitions, row_id, settle, settled_path, whole_text, with_row)
+    lookup, partitions, row_id, settle, settled_path, steady, whole_text, with_row)
 from thermolens.llm.shingles import BYTE_CODES, mix, powers
 
 LENGTH, GRAM = 200, 100
@@ -374,8 +374,10 @@ def remove_repeats(docs: DataFrame, batches: int = 2, name: str = "cut") -> Data
 
     A null text counts as empty, and texts under LENGTH bytes lose nothing; repeated rows are
     copies of each other; an empty table gives no rows; other columns pass through, and one called
-    ``name`` is replaced. ``docs`` must be a repeatable scan, as it is read several times.
+    ``name`` is replaced. Rows that do not come straight from files are written first, as they are
+    read several times.
     """
+    docs = steady(docs)
     numbered = with_row(docs.select(whole_text().alias("text")), "text")
     spans = repeated_spans(numbered, batches).groupBy("row").agg(
         F.collect_list(F.array("start", "end")).alias("spans"))

@@ -107,11 +107,11 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one pre-token: bytes are linked to their neighbours, and the pair whose merged
     bytes rank lowest, the leftmost of equals, is merged until none is left. A heap holds the pairs;
     one whose parts were merged otherwise is passed over when it comes up."""
-    n = len(word)
+    n, rank_of = len(word), ranks.get
     after = list(range(1, n + 1))  # where the part that begins here ends; 0 for inner bytes
     before = list(range(-1, n - 1))
     heap = [(rank, i, i + 2) for i in range(n - 1)
-            if (rank := ranks.get(word[i:i + 2])) is not None]
+            if (rank := rank_of(word[i:i + 2])) is not None]
     heapq.heapify(heap)
     while heap:
         _, i, end = heapq.heappop(heap)
@@ -121,11 +121,11 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         after[i], after[middle] = end, 0
         if end < n:
             before[end] = i
-            if (rank := ranks.get(word[i:after[end]])) is not None:
+            if (rank := rank_of(word[i:after[end]])) is not None:
                 heapq.heappush(heap, (rank, i, after[end]))
         if i:
             left = before[i]
-            if (rank := ranks.get(word[left:end])) is not None:
+            if (rank := rank_of(word[left:end])) is not None:
                 heapq.heappush(heap, (rank, left, end))
     out, i = [], 0
     while i < n:
@@ -135,7 +135,8 @@ def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class ByteBpe:
-    """A vocabulary in order of rank and the pattern that splits texts in front of the merges."""
+    """A vocabulary in order of rank and the pattern that splits texts in front of the merges. What
+    a worker remembers of merged pre-tokens is bounded, and serves all its tasks."""
 
     def __init__(self, tokens: list[bytes], pattern: str) -> None:
         self.tokens, self.pattern = tokens, pattern
@@ -261,7 +262,6 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             for part in by_bytes(batch, "text", CHUNK):
                 ids = bpe.encode_all(part["text"].to_pylist())
                 yield pa.RecordBatch.from_arrays([part["doc_id"], lists(ids)], ["doc_id", "ids"])
-        bpe.known.clear()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        whole_text().alias("text")).mapInArrow(look_up, "doc_id long, ids array<int>")

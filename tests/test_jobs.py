@@ -106,8 +106,13 @@ def test_unseen_zone_and_label(spark, sides, pipeline):
     assert made.numNonzeros() == 0 and made.size == zones
 
 
-def test_category_guard(readings):
+def test_category_guard(readings, monkeypatch):
     ml.check_categories(readings, ZONE)
+    monkeypatch.setattr(ml.check_categories, "__defaults__", (3,))
+    for indexer in (ml.zone_indexer(), ml.frequency_indexer(ZONE)):
+        with pytest.raises(ValueError, match="categories"):
+            indexer.fit(readings)
+    monkeypatch.undo()
     with pytest.raises(ValueError, match="categories"):
         ml.check_categories(readings, ID, limit=10)
 

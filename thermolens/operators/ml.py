@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (Imputer, OneHotEncoder, StandardScaler, StringIndexer,
                                 StringIndexerModel, VectorAssembler)
@@ -15,7 +14,9 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thermolens.operators.boosting import BoostedTrees
 from thermolens.operators.impute import GroupMedianImputer, PhysicalFeatures
+from thermolens.operators.newton import SoftmaxRegression
 from thermolens.schema import (ID, IMPUTED, LABELS, MODEL_FEATURES, RATIOS, TARGET, VECTOR_FEATURES,
                                ZONE, ZONE_INDEX)
 
@@ -35,16 +36,24 @@ def check_categories(df: DataFrame, column: str, limit: int = MAX_CATEGORIES) ->
         raise ValueError(f"{column} has about {n} categories; at most {limit} can be indexed")
 
 
+class CheckedIndexer(StringIndexer):
+    """A StringIndexer that refuses a column with too many categories before it reads them."""
+
+    def _fit(self, dataset: DataFrame) -> StringIndexerModel:
+        check_categories(dataset, self.getInputCol())
+        return super()._fit(dataset)
+
+
 def zone_indexer(column: str = ZONE, into: str = ZONE_INDEX) -> StringIndexer:
     """Index in alphabetical order; values not seen in training share one extra index."""
-    return StringIndexer(inputCol=column, outputCol=into, stringOrderType="alphabetAsc",
-                         handleInvalid="keep")
+    return CheckedIndexer(inputCol=column, outputCol=into, stringOrderType="alphabetAsc",
+                          handleInvalid="keep")
 
 
 def frequency_indexer(column: str = TARGET, into: str = LABEL) -> StringIndexer:
     """Index by falling frequency, ties in alphabetical order."""
-    return StringIndexer(inputCol=column, outputCol=into, stringOrderType="frequencyDesc",
-                         handleInvalid="keep")
+    return CheckedIndexer(inputCol=column, outputCol=into, stringOrderType="frequencyDesc",
+                          handleInvalid="keep")
 
 
 def label_encoder(labels: Sequence[str] = LABELS, invalid: str = "error") -> StringIndexerModel:
@@ -111,23 +120,17 @@ def forest(trees: int = 100, depth: int = 14, seed: int = SEED) -> RandomForestC
                                   maxDepth=depth, seed=seed, maxMemoryInMB=1024)
 
 
-def logistic_regression(rows: int, max_iter: int = 1000) -> LogisticRegression:
-    """Multinomial with a unit L2 penalty, which Spark states per row.
+def logistic_regression(tolerance: float = 1e-7) -> SoftmaxRegression:
+    """Multinomial with a unit L2 penalty for all rows together.
 
     The inputs are z-scores already, so the penalty applies to them as they are.
     """
-    return LogisticRegression(featuresCol="features", labelCol=LABEL, family="multinomial",
-                              maxIter=max_iter, tol=1e-4, regParam=1.0 / max(rows, 1),
-                              elasticNetParam=0.0, standardization=False)
-
-
-def boosted_trees(rounds: int = 100, depth: int = 5, parallelism: int = len(LABELS),
-                  seed: int = SEED) -> OneVsRest:
-    """One boosted model per class, fitted side by side."""
-    binary = GBTClassifier(featuresCol="features", labelCol=LABEL, maxIter=rounds, maxDepth=depth,
-                           seed=seed, maxMemoryInMB=1024)
-    return OneVsRest(classifier=binary, featuresCol="features", labelCol=LABEL,
-                     parallelism=parallelism)
+    return SoftmaxRegression(tolerance=tolerance)
+
+
+def boosted_trees(rounds: int = 100, depth: int = 5) -> BoostedTrees:
+    """All classes in one model, a tree for each class and round."""
+    return BoostedTrees(rounds=rounds, depth=depth)
 
 
 def tune_forest(train: DataFrame, grid: dict = FOREST_GRID, folds: int = FOLDS,

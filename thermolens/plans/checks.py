@@ -415,6 +415,9 @@ CHECKS: dict[str, str] = {
              "diagnostic_state = 'ventilation_issue' AS is_ventilation, true AS is_known "
              f"FROM readings WHERE NOT ({BEFORE})"
        for name in ("model_logreg", "model_random_forest", "model_gbt_ovr")},
+    "model_classes": f"{READINGS} SELECT model, reading_id, diagnostic_state AS predicted "
+                     "FROM readings, (VALUES ('logreg'), ('forest'), ('boosted')) m(model) "
+                     f"WHERE NOT ({BEFORE})",
     "model_report": f"{READINGS}, c AS (SELECT diagnostic_state AS label, count(*) AS support "
                     f"FROM readings WHERE NOT ({BEFORE}) GROUP BY 1), "
                     "a AS (SELECT * FROM c UNION ALL SELECT x, CAST(sum(support) AS BIGINT) "

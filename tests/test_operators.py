@@ -1,12 +1,17 @@
 """Operators against small fixtures: cleaning, splits, metrics, rules, curves, guards."""
 
+import io
+from contextlib import redirect_stdout
+
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from thermolens.functions.labels import wall_clock
 from thermolens.functions.numeric import band, rounded_half_away
 from thermolens.operators import curves, evaluate, features, rules, scoring, split
-from thermolens.operators.correlation import class_association, correlation_matrix
+from thermolens.operators.correlation import class_association, correlation_matrix, correlations
 from thermolens.schema import (ENGINEERED, ID, IMPUTED, MODEL_FEATURES, RAW_SCHEMA,
                                SCORING_DEFAULTS, SCORING_SCHEMA, VECTOR_FEATURES)
 from thermolens.sources.guards import check_training_input, require_columns
@@ -240,10 +245,28 @@ def test_scoring_keeps_clamped_ratios_and_needs_no_label(spark, readings):
 
 
 def test_correlation_of_a_constant_is_zero(spark):
-    from thermolens.operators.correlation import pairwise_correlations
-
-    df = spark.createDataFrame([(1.0, 5.0, None), (2.0, 5.0, 4.0), (4.0, 5.0, 1.0)],
-                               "a double, b double, c double")
-    found = {r.pair: r.r for r in pairwise_correlations(
-        df, [("a", "b"), ("a", "c"), ("a", "a")]).collect()}
-    assert found == {0: 0.0, 1: pytest.approx(-1.0), 2: pytest.approx(1.0)}
+    df = spark.createDataFrame([(1.0, 5.0, None), (2.0, 5.0, 4.0), (4.0, 5.0, 1.0),
+                                (float("nan"), 5.0, 2.0)], "a double, b double, c double")
+    found = {(r.a, r.b): r.r for r in correlations(df, ["a"], ["b", "c", "a"]).collect()}
+    assert found == {("a", "b"): 0.0, ("a", "c"): pytest.approx(-1.0), ("a", "a"): pytest.approx(1)}
+    assert {r.r for r in correlations(df.limit(0), ["a", "b"], ["a", "b"]).collect()} <= {0.0}
+
+
+def test_many_columns_are_correlated_in_one_scan(spark, tmp_path):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(700, 200)) @ r.normal(size=(200, 200)) + 1e6
+    x[r.random(x.shape) < 0.1] = np.nan
+    x[:, 7] = 3.0
+    names = [f"c{i}" for i in range(200)]
+    path = str(tmp_path / "wide.parquet")
+    spark.createDataFrame(pd.DataFrame(x, columns=names)).repartition(5).write.parquet(path)
+    wide = spark.read.parquet(path)
+    matrix = correlations(wide, names, names)
+    plan = io.StringIO()
+    with redirect_stdout(plan):
+        matrix.explain()
+    assert plan.getvalue().count("FileScan") == 1
+    found = {(row.a, row.b): row.r for row in matrix.collect()}
+    expected = pd.DataFrame(x, columns=names).corr().fillna(0.0)
+    assert len(found) == 40_000 and all(
+        abs(found[a, b] - expected.loc[a, b]) < 1e-9 for a in names for b in names)

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolens.operators.blocks import add_up, kept, matrices, softmax, with_probabilities
+from thermolens.operators.blocks import ROWS, add_up, kept, matrices, softmax, with_probabilities
 from thermolens.schema import LABELS
 
 #: Rounds whose trees travel with the tasks; older ones are broadcast.
@@ -254,13 +254,15 @@ class BoostedTrees:
         offsets = np.concatenate(([0], np.cumsum([e.size + 1 for e in edges])))
         with kept(blocks):
             counts = add_up(blocks, lambda b: [np.bincount(b[1], minlength=self.classes)])[0]
+            # Small tables need no more tasks than matrices.
+            tasks = max(1, min(blocks.getNumPartitions(), -(-int(counts.sum()) // ROWS)))
             base = np.log((counts + 1e-3) / (counts.sum() + 1e-3 * self.classes))
             rounds: list[Trees] = []
             older, before, fit = spark.sparkContext.broadcast([]), 0, uuid.uuid4().hex
             for _ in range(self.rounds if (counts > 0).sum() > 1 else 0):
                 if len(rounds) - before == RECENT:
                     older, before = spark.sparkContext.broadcast(list(rounds)), len(rounds)
-                rounds.append(grow(blocks, fit, base, older, rounds[before:], before, offsets,
+                rounds.append(grow(blocks.coalesce(tasks), fit, base, older, rounds[before:], before, offsets,
                                    self.depth, self.rate, self.ridge, self.least_hessian))
                 if (rounds[-1].column < 0).all():
                     break

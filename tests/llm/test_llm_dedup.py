@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from thermolens.llm import exact, near, suffix
+from thermolens.llm import common, exact, near, suffix
 from thermolens.llm.components import components
 
 
@@ -73,6 +73,15 @@ def test_keep_loses_no_text_of_a_shuffled_table(spark, folder):
             spark.conf.set(key, value)
 
 
+def test_only_rows_straight_from_files_are_not_written_again(spark, docs):
+    assert common.steady(docs) is docs
+    files = set(docs.inputFiles())
+    for same in (docs.filter("doc_id > 3"), docs.withColumn("x", F.length("text"))):
+        assert set(common.steady(same).inputFiles()) == files
+    for other in (docs.repartition(3), docs.limit(5), docs.distinct(), spark.range(5)):
+        assert set(common.steady(other).inputFiles()).isdisjoint(files)
+
+
 def test_a_batch_can_be_repeated_by_its_name(spark, docs):
     index = exact.fresh_index(spark, docs)
     first = index.dedup(docs, "monday").collect()  # say its result was never written

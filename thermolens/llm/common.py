@@ -39,7 +39,7 @@ def steady(docs: DataFrame) -> DataFrame:
         docs.explain()
     text = plan.getvalue()
     if "FileScan" in text and not any(
-            x in text for x in ("Exchange", "InMemory", "ExistingRDD", "Limit")):
+            x in text for x in ("Exchange", "InMemoryTableScan", "ExistingRDD", "Limit")):
         return docs
     return settle(docs, "input")
 

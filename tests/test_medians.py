@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from thermolens.operators import order_stats
+from thermolens.operators import order_stats, sketches
 from thermolens.operators.features import add_physical_features, coerce_numeric
 from thermolens.operators.impute import (GroupMedianImputer, GroupMedianModel, global_medians,
                                          group_medians, impute_global)
@@ -210,3 +210,48 @@ def test_large_fitted_tables_go_to_storage(spark, monkeypatch):
     kept = keep(spark.range(5), 1_000_000)
     assert kept.rows is None and kept.table.count() == 5
     assert spark.sparkContext.getCheckpointDir()
+
+
+def days_of(spark, seed, n):
+    r = random.Random(seed)
+    return spark.createDataFrame(
+        [(r.choice(("hot", "hot", "hot", "b", "c")), r.gauss(0, 5) if r.random() > 0.1 else None,
+          float(r.randrange(3))) for _ in range(n)] + [("none", None, 1.0)],
+        "zone string, v double, w double")
+
+
+def expected_medians(df):
+    rows = df.toPandas()
+    by = {(z, c): m for c in ("v", "w") for z, m in rows.groupby("zone")[c].median().items()
+          if m == m}
+    return by | {(None, c): rows[c].median() for c in ("v", "w")}
+
+
+def test_sketches_of_a_new_day_are_merged_and_medians_stay_exact(spark, tmp_path):
+    columns, path = ["v", "w"], str(tmp_path / "state")
+    first, second = days_of(spark, 1, 20_000), days_of(spark, 2, 9_000).withColumn(
+        "v", F.col("v") + 3)
+    long, state = sketches.exact_medians_by(first, "zone", columns)
+    assert {(r.zone, r.column): r["median"] for r in long.collect()} == expected_medians(first)
+    state.write.parquet(path)  # the next day, another session
+    merged = sketches.merge_sketches(
+        [spark.read.parquet(path), sketches.sketch_columns(second, "zone", columns)], "zone",
+        columns)
+    both = first.unionByName(second)
+    long, _ = sketches.exact_medians_by(both, "zone", columns, merged)
+    assert {(r.zone, r.column): r["median"] for r in long.collect()} == expected_medians(both)
+
+
+def test_a_margin_that_is_too_small_or_a_group_too_large_is_noticed(spark, monkeypatch):
+    df = days_of(spark, 3, 5_000)
+    counted = []
+    by_counting = sketches.medians_with_total
+    monkeypatch.setattr(sketches, "medians_with_total",
+                        lambda *x: counted.append(1) or by_counting(*x))
+    for margin, limit, ways in ((0.0125, 200_000, 0), (0.0125, 10, 1), (-0.2, 200_000, 2)):
+        monkeypatch.setattr(sketches, "MARGIN", margin)
+        long, _ = sketches.exact_medians_by(df, "zone", ["v", "w"], limit=limit)
+        assert {(r.zone, r.column): r["median"] for r in long.collect()} == expected_medians(df)
+        assert len(counted) == ways
+    none = df.limit(0)
+    assert sketches.exact_medians_by(none, "zone", ["v", "w"])[0].count() == 0

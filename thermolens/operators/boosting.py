@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import uuid
-from collections import OrderedDict
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import RDD
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from thermolens.operators.blocks import ROWS, add_up, kept, matrices, softmax, with_probabilities
 from thermolens.schema import LABELS
+from thermolens.session import shared_folder
 
-#: Rounds whose trees travel with the tasks; older ones are broadcast.
-RECENT = 10
-#: Matrices whose scores a Python worker remembers.
-REMEMBERED = 64
+#: Rounds after which scores are written, so that a lost executor costs no more of them.
+CUT = 25
 
 
 @dataclass
@@ -74,32 +71,10 @@ def coded(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, x[:, c]).astype(np.uint8) for c, e in enumerate(edges)])
 
 
-#: (fit, matrix) -> rounds that count, scores. Only a shortcut: a worker that does not hold them, as
-#: after a lost executor, adds them up from the trees.
-_SCORES: OrderedDict[tuple, tuple[int, np.ndarray]] = OrderedDict()
-
-
-def scores_of(key: tuple, codes: np.ndarray, base: np.ndarray, older, recent: list[Trees],
-              before: int) -> np.ndarray:
-    """Scores of a matrix's rows by all rounds so far: ``before`` rounds that are broadcast, then
-    the recent ones."""
-    done, raw = _SCORES.pop(key, (0, None))
-    if raw is None or done > before + len(recent):  # the second: a late copy of an earlier task
-        done, raw = 0, np.tile(base, (codes.shape[1], 1))
-    for trees in older.value[done:before] if done < before else []:
-        raw = raw + trees.values(codes)
-    for trees in recent[max(0, done - before):]:
-        raw = raw + trees.values(codes)
-    _SCORES[key] = before + len(recent), raw
-    while len(_SCORES) > REMEMBERED:
-        _SCORES.popitem(last=False)
-    return raw
-
-
 def histograms(codes: np.ndarray, y: np.ndarray, raw: np.ndarray, trees: Trees, level: int,
                active: list[np.ndarray], offsets: np.ndarray) -> list[np.ndarray]:
     """Sums of gradients and Hessians per class: active node x (column, bin)."""
-    shares, width = softmax(raw), int(offsets[-1])
+    shares, width = softmax(raw.astype(float)), int(offsets[-1])
     out = []
     for k, nodes in enumerate(active):
         place = np.full(trees.value.shape[1], -1)
@@ -140,20 +115,19 @@ def best_splits(sums: np.ndarray, offsets: np.ndarray, ridge: float, least: floa
     return gain.max(1), column, best - offsets[column], total[:, :, 0]
 
 
-def grow(blocks: RDD, fit: str, base: np.ndarray, older, recent: list[Trees], before: int,
-         offsets: np.ndarray, depth: int, rate: float, ridge: float, least: float) -> Trees:
+def grow(scored: RDD, classes: int, offsets: np.ndarray, depth: int, rate: float, ridge: float,
+         least: float) -> Trees:
     """One round: all classes' trees, a level of all of them in one job."""
-    trees = Trees.empty(base.size, depth)
+    trees = Trees.empty(classes, depth)
     # The nodes whose sums are asked for, and the sums of their parents.
-    asked = [np.zeros(1, np.int64) for _ in range(base.size)]
-    parents: list[np.ndarray | None] = [None] * base.size
+    asked = [np.zeros(1, np.int64) for _ in range(classes)]
+    parents: list[np.ndarray | None] = [None] * classes
     for level in range(depth):
         def work(block: tuple) -> list[np.ndarray]:
-            number, y, codes = block
-            raw = scores_of((fit, number), codes, base, older, recent, before)
+            y, codes, raw = block
             return histograms(codes, y, raw, trees, level, asked, offsets)  # noqa: B023
 
-        found = add_up(blocks, work)
+        found = add_up(scored, work)
         for k, (nodes, sums) in enumerate(zip(asked, found)):
             if parents[k] is not None:  # a sibling has what its parent has beyond the node
                 sums = np.concatenate((sums, parents[k] - sums), 1)
@@ -230,7 +204,8 @@ class BoostedTrees:
     Columns are cut into at most ``bins`` bins by one scan for quantiles; rows become matrices of
     one byte per entry, which Spark keeps. A round grows one tree per class, all classes a level at
     a time: one job adds up gradients and Hessians by (node, column, bin) in every task, and the
-    driver, which sees only these sums, picks the splits. Scores of rows stay with the workers.
+    driver, which sees only these sums, picks the splits. The rows' scores are kept beside them and
+    move on by one round at a time; every CUT rounds they are written to the shared folder.
 
     A class without rows gets a probability near 0. Without rows, or with one class, there are no
     trees. Null labels and null vectors are left out. Equal gains take the first column and bin.
@@ -250,20 +225,36 @@ class BoostedTrees:
         if not edges:
             return BoostedTreesModel([], np.zeros(self.classes), [])
         shared = spark.sparkContext.broadcast(edges)
-        blocks = matrices(df).map(lambda b: (b[0], b[1], coded(b[2], shared.value)))
+        blocks = matrices(df).map(lambda b: (b[1], coded(b[2], shared.value)))
         offsets = np.concatenate(([0], np.cumsum([e.size + 1 for e in edges])))
+        shared_folder(spark)  # sets the folder of checkpoints
         with kept(blocks):
-            counts = add_up(blocks, lambda b: [np.bincount(b[1], minlength=self.classes)])[0]
-            # Small tables need no more tasks than matrices.
-            tasks = max(1, min(blocks.getNumPartitions(), -(-int(counts.sum()) // ROWS)))
+            counts = add_up(blocks, lambda b: [np.bincount(b[0], minlength=self.classes)])[0]
+            # Small tables need no more tasks than half full matrices.
+            tasks = max(1, min(blocks.getNumPartitions(), -(-2 * int(counts.sum()) // ROWS)))
             base = np.log((counts + 1e-3) / (counts.sum() + 1e-3 * self.classes))
             rounds: list[Trees] = []
-            older, before, fit = spark.sparkContext.broadcast([]), 0, uuid.uuid4().hex
-            for _ in range(self.rounds if (counts > 0).sum() > 1 else 0):
-                if len(rounds) - before == RECENT:
-                    older, before = spark.sparkContext.broadcast(list(rounds)), len(rounds)
-                rounds.append(grow(blocks.coalesce(tasks), fit, base, older, rounds[before:], before, offsets,
-                                   self.depth, self.rate, self.ridge, self.least_hessian))
+            scored, old = blocks.coalesce(tasks).map(
+                lambda b: (*b, np.tile(base.astype(np.float32), (b[0].size, 1)))), []
+            for i in range(self.rounds if (counts > 0).sum() > 1 else 0):
+                scored.persist(StorageLevel.MEMORY_AND_DISK)
+                if i and i % CUT == 0:
+                    scored.checkpoint()
+                rounds.append(grow(scored, self.classes, offsets, self.depth, self.rate,
+                                   self.ridge, self.least_hessian))
+                for rdd in old:  # the first job of this round has read them
+                    rdd.unpersist()
                 if (rounds[-1].column < 0).all():
                     break
+                old, scored = [scored], scored.map(_add_round(rounds[-1]))
+            for rdd in old:
+                rdd.unpersist()
+            scored.unpersist()
         return BoostedTreesModel(edges, base, rounds)
+
+
+def _add_round(trees: Trees):
+    def add(block: tuple) -> tuple:
+        y, codes, raw = block
+        return y, codes, raw + trees.values(codes).astype(np.float32)
+    return add

@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from thermolens.functions.numeric import finite
 from thermolens.operators.features import add_physical_features
-from thermolens.operators.order_stats import RANKED_VALUES, exact_medians, medians_with_total, widen
+from thermolens.operators.order_stats import RANKED_VALUES, widen
+from thermolens.operators.sketches import exact_medians_by
 from thermolens.schema import DELTA_INPUTS, IMPUTED, RATIO_INPUTS, ZONE
 from thermolens.session import keep, lookup_join
 from thermolens.sources.guards import raise_on_guard, require_columns
@@ -36,7 +37,9 @@ def global_medians(df: DataFrame, columns: Sequence[str] = IMPUTED, *, method: s
     clean = df.select(*[finite(c).alias(c) for c in columns])
     if method == "approx":
         return clean.agg(*[F.percentile_approx(c, 0.5).alias(c) for c in columns])
-    return widen(exact_medians(clean, [], columns, limit), [], columns)
+    long, _ = exact_medians_by(clean.withColumn("_everything", F.lit("all")), "_everything",
+                               columns, limit=limit)
+    return widen(long.filter("_everything is null"), [], columns)
 
 
 class _MedianParams(Params):
@@ -65,7 +68,7 @@ class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, Defaul
     """Learns a median per group and column, and a global one for the gaps.
 
     One aggregate checks the input and counts it; then all medians, of groups and of the whole
-    table, are found together by counting (see ``order_stats``), in the same way at any size.
+    table, are found together in two scans (see ``sketches``).
     """
 
     @keyword_only
@@ -101,7 +104,7 @@ class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, Defaul
                       F.count(F.lit(1)).alias("n")]
             total = clean.agg(*picked).withColumn(key, F.lit(None).cast("string"))
             return clean.groupBy(key).agg(*picked).unionByName(total)
-        long = medians_with_total(clean, key, columns, self.getOrDefault(self.rankedValues))
+        long, _ = exact_medians_by(clean, key, columns, limit=self.getOrDefault(self.rankedValues))
         return widen(long, [key], columns, F.max("n").alias("n"))
 
 

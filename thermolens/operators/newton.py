@@ -27,12 +27,18 @@ def derivatives(x: np.ndarray, y: np.ndarray, weights: np.ndarray) -> list[np.nd
         loss -= np.log(np.maximum(shares[at, own], 1e-300)).sum()
         for i in range(classes):
             slope[i] += (shares[:, i] - (own == i)) @ rows
+        for i in range(classes - 1):
             for j in range(i + 1):
                 both = (shares[:, i] * ((i == j) - shares[:, j]))[:, None]
                 bend[i, j] += rows.T @ (rows * both)
-    for i in range(classes):
+    # Shares add up to 1, so the blocks of a class add up to 0: the last ones follow.
+    last = classes - 1
+    for i in range(last):
         for j in range(i):
             bend[j, i] = bend[i, j]
+    for i in range(classes):
+        bend[i, last] = -bend[i, :last].sum(0)
+        bend[last, i] = bend[i, last]
     return [loss, slope, bend]
 
 

@@ -65,6 +65,21 @@ def rank_counted(counted: DataFrame, keys: Sequence[str], value: str, ranks: Ran
         .alias("equal"))
 
 
+def rank_hits(counted: DataFrame, keys: Sequence[str], value: str, ranks: RankRule) -> DataFrame:
+    """(keys, n, low, high) at the ranks of each group, whose ``_n`` rows ``counted`` tells from the
+    smallest value on, perhaps not to the end; a null value stands for all that are smaller than the
+    others. Groups whose last rank is not reached, or whose first is a null, have a null ``low``."""
+    running = (Window.partitionBy(*keys).orderBy(F.asc_nulls_first(value))
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ended = counted.withColumn("_end", F.sum("_c").over(running))
+    first, last = ranks(F.col("_n"))
+    hit = ended.filter((F.col("_end") - F.col("_c") <= last) & (F.col("_end") > first))
+    whole = F.count_if(F.col(value).isNull()) + F.when(F.max("_end") > F.max(last), 0).otherwise(1)
+    return hit.groupBy(*keys).agg(
+        F.max("_n").alias("n"), F.when(whole == 0, F.min(value)).alias("low"),
+        F.max(value).alias("high"))
+
+
 def select_ranks(obs: DataFrame, keys: Sequence[str], value: str, ranks: RankRule,
                  limit: int = RANKED_VALUES) -> DataFrame:
     """Exact values at the ranks given by ``ranks(n)``, for each group of ``keys``.
@@ -163,6 +178,11 @@ def _middle() -> Column:
         F.col("low") / 2 + F.col("high") / 2)
 
 
+def middle_of() -> Column:
+    """``median`` from ``low`` and ``high``."""
+    return _middle().alias("median")
+
+
 def exact_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                   limit: int = RANKED_VALUES) -> DataFrame:
     """(keys, column, median, n) for every group and column with at least one value."""

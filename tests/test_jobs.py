@@ -1,6 +1,9 @@
 """Sources, sinks, pipelines, models and whole jobs."""
 
+import io
 import json
+import re
+from contextlib import redirect_stdout
 from pathlib import Path
 
 import pytest
@@ -8,8 +11,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from thermolens.operators import ml
+from thermolens.operators import bitmaps, ml
 from thermolens.operators.profile import label_distribution
+from thermolens.operators.rollup import building_rollup
 from thermolens.operators.scoring import diagnose
 from thermolens.plans import jobs
 from thermolens.schema import (ID, LABELS, MODEL_FEATURES, RAW_SCHEMA, TIME, VECTOR_FEATURES, ZONE)
@@ -179,3 +183,39 @@ def test_label_distribution_adds_up(readings):
     rows = label_distribution(readings).collect()
     assert sum(r.n for r in rows) == 1000
     assert sum(r.percentage for r in rows) == pytest.approx(100, abs=0.05)
+
+
+def test_a_repeated_day_replaces_itself_and_other_days_are_not_read(spark, readings, tmp_path):
+    path = str(tmp_path / "days")
+    tables.write_days(readings, path)
+    day = F.to_date("recorded_at") == F.lit("2024-01-05").cast("date")
+    before = sorted(map(tuple, spark.read.parquet(path).drop("day").collect()))
+    for _ in range(2):
+        tables.write_days(readings.filter(day), path)
+    assert sorted(map(tuple, spark.read.parquet(path).drop("day").collect())) == before
+    late = tables.read_days(spark, path, "2024-01-20 12:00:00", "2024-01-22")
+    assert late.columns == readings.columns and late.count() == readings.filter(
+        "recorded_at >= '2024-01-20 12:00:00' and recorded_at < '2024-01-22'").count() > 0
+    plan = io.StringIO()
+    with redirect_stdout(plan):
+        late.explain("formatted")
+    assert re.search(r"PartitionFilters: \[.*day", plan.getvalue())
+    none = readings.limit(2).withColumn("recorded_at", F.lit(None).cast("timestamp_ntz"))
+    tables.write_days(none, path)
+    assert tables.read_days(spark, path).count() == 1002
+    assert tables.read_days(spark, path, end="2025-01-01").count() == 1000
+
+
+def test_distinct_counts_of_batches_add_up(spark, readings, tmp_path):
+    book = bitmaps.CodeBook(spark, str(tmp_path / "codes"))
+    parts = [readings.filter(F.pmod("reading_id", F.lit(4)) == i) for i in range(4)]
+    states = []
+    for i, part in enumerate(parts):  # each is stored, as on another day
+        bitmaps.building_state(part, book).write.parquet(str(tmp_path / f"state{i}"))
+        states.append(spark.read.parquet(str(tmp_path / f"state{i}")))
+        seen = readings.filter(F.pmod("reading_id", F.lit(4)) <= i)
+        told = bitmaps.rollup_of(bitmaps.merge_states(states)).orderBy("building").collect()
+        assert told == building_rollup(seen).orderBy("building").select(told[0].__fields__).collect()
+    codes = book.table().collect()
+    assert len({r.code for r in codes}) == len({(r.kind, r.value) for r in codes}) == len(codes)
+    assert bitmaps.rollup_of(bitmaps.building_state(readings.limit(0), book)).count() == 0

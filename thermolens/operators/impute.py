@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 from thermolens.functions.numeric import finite
 from thermolens.operators.features import add_physical_features
 from thermolens.operators.order_stats import RANKED_VALUES, widen
-from thermolens.operators.sketches import exact_medians_by
+from thermolens.operators.sketches import exact_medians_by, facts_of, sketch_columns
 from thermolens.schema import DELTA_INPUTS, IMPUTED, RATIO_INPUTS, ZONE
-from thermolens.session import keep, lookup_join
+from thermolens.session import keep, lookup_join, materialise
 from thermolens.sources.guards import raise_on_guard, require_columns
 
 
@@ -67,8 +67,8 @@ class _MedianParams(Params):
 class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, DefaultParamsWritable):
     """Learns a median per group and column, and a global one for the gaps.
 
-    One aggregate checks the input and counts it; then all medians, of groups and of the whole
-    table, are found together in two scans (see ``sketches``).
+    One scan sketches and counts the input, which is checked by these counts; a second one finds
+    all medians, of groups and of the whole table (see ``sketches``).
     """
 
     @keyword_only
@@ -82,14 +82,12 @@ class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, Defaul
         require_columns(dataset, [key, *columns])
         clean = dataset.select(F.col(key).cast("string").alias(key),
                                *[finite(c).alias(c) for c in columns])
-        report = clean.agg(
-            F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(key).isNull()).alias("null_keys"),
-            F.approx_count_distinct(key).alias("groups"),
-            *[F.count(c).alias(f"observed_{c}") for c in columns]).first().asDict()
-        raise_on_guard(report, columns)
-        # The estimate of the group count is off by some percent; leave room.
-        groups = 2 * report["groups"]
-        kept = keep(self._medians(clean, key, columns).select(key, *columns, "n"), groups)
+        state = materialise(sketch_columns(clean, key, columns))
+        facts = facts_of(state, key, columns)
+        raise_on_guard(facts, columns)
+        groups = facts["groups"]
+        kept = keep(self._medians(clean, key, columns, state, facts).select(key, *columns, "n"),
+                    groups + 1)
         is_total = F.col(key).isNull()
         fitted = (kept.table.filter(is_total).first() if kept.rows is None
                   else next(row for row in kept.rows if row[key] is None))
@@ -97,14 +95,16 @@ class GroupMedianImputer(_MedianParams, Estimator, DefaultParamsReadable, Defaul
                                  groups)
         return self._copyValues(model)
 
-    def _medians(self, clean: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    def _medians(self, clean: DataFrame, key: str, columns: list[str], state: DataFrame,
+                 facts: dict[str, int]) -> DataFrame:
         """Wide medians and row count ``n`` per group and, with a null key, of all rows."""
         if self.getOrDefault(self.method) == "approx":
             picked = [*[F.percentile_approx(c, 0.5).alias(c) for c in columns],
                       F.count(F.lit(1)).alias("n")]
             total = clean.agg(*picked).withColumn(key, F.lit(None).cast("string"))
             return clean.groupBy(key).agg(*picked).unionByName(total)
-        long, _ = exact_medians_by(clean, key, columns, limit=self.getOrDefault(self.rankedValues))
+        long, _ = exact_medians_by(clean, key, columns, state, facts,
+                                   self.getOrDefault(self.rankedValues))
         return widen(long, [key], columns, F.max("n").alias("n"))
 
 

@@ -30,6 +30,10 @@ def building_rollup(df: DataFrame, low_from: float = 75.0, medium_from: float =
         F.count_distinct("zone").alias("zones"), F.count_distinct("sensor_id").alias("sensors"),
         *[(F.sum(label) * 100 / F.sum("n")).alias(name) for label, name in zip(
             LABELS, ("normal_pct", "ventilation_pct", "thermal_pct"))])
+    return with_risk(per_building, low_from, medium_from)
+
+
+def with_risk(per_building: DataFrame, low_from: float, medium_from: float) -> DataFrame:
     risk = (F.when(F.col("normal_pct") >= low_from, "low")
             .when(F.col("normal_pct") >= medium_from, "medium").otherwise("alert"))
     return per_building.withColumn("risk", risk)

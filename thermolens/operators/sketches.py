@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from thermolens.operators.order_stats import (RANKED_VALUES, medians_with_total, middle_of,
                                               middle_ranks, rank_hits)
-from thermolens.session import lookup_join, materialise
+from thermolens.session import keep, lookup_join, materialise
 
 #: Values that a sketch keeps on its lowest level; its rank error is about 0.4 hundredths.
 SIZE = 1024
@@ -91,25 +91,40 @@ def medians_between(df: DataFrame, bounds: DataFrame, key: str, columns: Sequenc
     return hit.select("_all", F.col("_key").alias(key), "column", middle_of(), "n")
 
 
+def facts_of(state: DataFrame, key: str, columns: Sequence[str]) -> dict[str, int]:
+    """n_rows, null_keys, groups, observed_<column>, the most values of a group (``most``) and the
+    number of medians there are (``filled``), from a state; no row is read."""
+    return state.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("rows"))), F.lit(0)).alias("null_keys"),
+        F.count(F.lit(1)).alias("groups"),
+        F.coalesce(F.max(F.greatest(*[F.col(f"n_{c}") for c in columns], F.lit(0))), F.lit(0))
+        .alias("most"),
+        *[F.coalesce(F.sum(f"n_{c}"), F.lit(0)).alias(f"observed_{c}") for c in columns],
+        F.coalesce(F.sum(sum((F.col(f"n_{c}") > 0).cast("long") for c in columns)), F.lit(0))
+        .alias("filled")).first().asDict()
+
+
 def exact_medians_by(df: DataFrame, key: str, columns: Sequence[str],
-                     state: DataFrame | None = None,
+                     state: DataFrame | None = None, facts: dict[str, int] | None = None,
                      limit: int = RANKED_VALUES) -> tuple[DataFrame, DataFrame]:
     """(key, column, median, n) per group and, with a null key, over all rows; and the state.
 
     ``state`` may be that of an earlier run, merged with the sketches of new rows; ``df`` has all
     rows then. Without one it is made. ``key`` must not be null. If some group has so many rows that
     more than ``limit`` different values may lie between its bounds, all is found by counting, which
-    spreads one group over many tasks.
+    spreads one group over many tasks. ``facts`` say that ``state`` is written already.
     """
-    made = materialise(state if state is not None else sketch_columns(df, key, columns))
-    groups, most, filled = made.agg(
-        F.count(F.lit(1)), F.max(F.greatest(*[F.col(f"n_{c}") for c in columns], F.lit(0))),
-        F.sum(sum((F.col(f"n_{c}") > 0).cast("long") for c in columns))).first()
-    totals = with_total(made, key, columns)
-    rows = made.agg(*[F.sum(f"n_{c}") for c in columns]).first() if groups else []
-    if not groups or max(most, *[r or 0 for r in rows]) * 2 * MARGIN > limit:
-        return medians_with_total(df, key, columns, limit), made
-    found = materialise(medians_between(df, bounds_of(totals, key, columns), key, columns, groups))
-    if found.count() < filled + sum(1 for r in rows if r):  # a margin was too small
+    made = state if facts else materialise(
+        state if state is not None else sketch_columns(df, key, columns))
+    facts = facts or facts_of(made, key, columns)
+    totals = [facts[f"observed_{c}"] for c in columns]
+    if not facts["groups"] or max(facts["most"], *totals) * 2 * MARGIN > limit:
         return medians_with_total(df, key, columns, limit), made
-    return found.select(F.when(~F.col("_all"), F.col(key)).alias(key), "column", "median", "n"), made
+    bounds = bounds_of(with_total(made, key, columns), key, columns)
+    medians = facts["filled"] + sum(n > 0 for n in totals)
+    found = keep(medians_between(df, bounds, key, columns, facts["groups"]), medians)
+    if (len(found.rows) if found.rows is not None else found.table.count()) < medians:
+        return medians_with_total(df, key, columns, limit), made  # a margin was too small
+    return found.table.select(
+        F.when(~F.col("_all"), F.col(key)).alias(key), "column", "median", "n"), made

@@ -226,6 +226,12 @@ CHECKS: dict[str, str] = {
                     "round(l_extendedprice, 6) AS l_extendedprice, "
                     "round(l_discount, 6) AS l_discount, round(l_tax, 6) AS l_tax) FROM lineitem",
     "scan_csv_roundtrip": f"{READINGS} SELECT {pick(RAW)} FROM readings",
+    "scan_csv_inferred": f"{READINGS} SELECT {pick([c for c in RAW if c != 'recorded_at'])}, "
+                         "19 AS n_numbers FROM readings",
+    "daily_feature_table": f"{READINGS}, feat AS (SELECT *, {DELTA_SQL}, {ratio_sql()} FROM readings) "
+                           "SELECT reading_id, recorded_at, building_zone, "
+                           f"{pick(ENGINEERED, RATIO_DIGITS)} FROM feat WHERE {BEFORE}",
+    "building_rollup_merged": rollup_sql(),
     "first_n_rows": f"{READINGS} SELECT reading_id, recorded_at, building_zone FROM readings "
                     f"ORDER BY recorded_at, reading_id LIMIT {FIRST_ROWS}",
     "feature_metadata": _stacked("stats", [

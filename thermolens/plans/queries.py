@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from thermolens.functions.labels import wall_clock
 from thermolens.functions.numeric import rounded_half_away
-from thermolens.operators import curves, evaluate, features, impute, ml, profile, rollup, rules
+from thermolens.operators import bitmaps, curves, evaluate, features, impute, ml, profile, rollup, rules
 from thermolens.operators import scoring, split
 from thermolens.operators.correlation import class_association, correlation_matrix
 from thermolens.plans.jobs import feature_job, fit_train_apply_test, tuning_job
@@ -25,13 +25,14 @@ from thermolens.schema import (DELTAS, ENGINEERED, ID, IMPUTED, LABELS, MODEL_FE
                                ZONE, ZONE_INDEX)
 from thermolens.session import persisted, scratch_path, spread_rows
 from thermolens.sources.fixture import EVENTS_SCHEMA, load_readings, readings_from_events
-from thermolens.sources.guards import guard_report
-from thermolens.sources.tables import (coerce_schema, read_csv, read_table, write_csv,
-                                       write_json)
+from thermolens.sources.guards import guard_report, require_columns
+from thermolens.sources.tables import (coerce_schema, read_csv, read_days, read_first_available,
+                                       read_table, write_csv, write_days, write_json)
 from thermolens.streaming import jobs as streams
 
 CUTOFF = "2024-01-24"
 FIRST_ROWS = 5_000
+FIRST_DAY = "2024-01-02"
 # Quotients of the derived readings end within eight decimals or never: no rounding ties.
 RATIO_DIGITS = 8
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +87,31 @@ def scan_csv_roundtrip(spark, folder):
     return rounded(features.parse_time(read_csv(spark, path, RAW_SCHEMA)))
 
 
+@query
+def scan_csv_inferred(spark, folder):
+    """A CSV file whose types are found by reading it, at the second of two paths."""
+    path = scratch_path(spark, "readings-csv") + ".csv"
+    write_csv(load_readings(spark, folder).withColumn(TIME, F.col(TIME).cast("string")), path)
+    found = read_first_available(spark, [f"{path}.missing.csv", path], None)
+    require_columns(found, RAW_SCHEMA.fieldNames())
+    kinds = dict(found.dtypes)
+    numbers = [c for c in RAW_SCHEMA.fieldNames() if kinds[c] in ("int", "bigint", "double")]
+    return rounded(found.select(*[
+        F.col(c).cast(RAW_SCHEMA[c].dataType).alias(c) if c in numbers else F.col(c)
+        for c in RAW_SCHEMA.fieldNames() if c != TIME], F.lit(len(numbers)).alias("n_numbers")))
+
+
+@query
+def daily_feature_table(spark, folder):
+    """Features by day: all days are written, one of them twice, and those before the cutoff read."""
+    path = scratch_path(spark, "daily")
+    made = features.add_physical_features(load_readings(spark, folder)).select(
+        ID, TIME, ZONE, *ENGINEERED)
+    write_days(made, path)
+    write_days(made.filter(F.to_date(TIME) == F.lit(FIRST_DAY).cast("date")), path)
+    return rounded(read_days(spark, path, end=CUTOFF), RATIO_DIGITS)
+
+
 @query
 def first_n_rows(spark, folder):
     readings = load_readings(spark, folder)
@@ -390,6 +416,18 @@ def building_rollup(spark, folder):
     return rounded(rollup.building_rollup(load_readings(spark, folder), 65.0, 60.0))
 
 
+@query
+def building_rollup_merged(spark, folder):
+    """The same from three batches of days, whose bitmaps and counts are stored and added up."""
+    readings, path = load_readings(spark, folder), scratch_path(spark, "buildings")
+    book = bitmaps.CodeBook(spark, f"{path}/codes")
+    for i in range(3):
+        part = readings.filter(F.pmod(F.dayofyear(TIME), F.lit(3)) == i)
+        bitmaps.building_state(part, book).write.parquet(f"{path}/state/batch={i}")
+    stored = spark.read.parquet(f"{path}/state").drop("batch")
+    return rounded(bitmaps.rollup_of(bitmaps.merge_states([stored]), 65.0, 60.0))
+
+
 @query
 def floor_issue_rate(spark, folder):
     return rounded(rollup.floor_issue_rate(load_readings(spark, folder)))

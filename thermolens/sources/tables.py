@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from thermolens.operators.features import enrich
-from thermolens.schema import LABELS, RAW_SCHEMA, TARGET
+from thermolens.schema import LABELS, RAW_SCHEMA, TARGET, TIME
 
 _SUFFIX_FORMATS = {".csv": "csv", ".csv.gz": "csv", ".json": "json", ".parquet": "parquet",
                    ".orc": "orc"}
 
 
+#: Name of the column that names the folders of a table by days.
+DAY = "day"
 #: Name of the text column that takes unreadable lines.
 CORRUPT = "_corrupt_record"
 
@@ -75,6 +77,27 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def write_days(df: DataFrame, path: str, column: str = TIME) -> None:
+    """Parquet in one folder per day of ``column``, a zone-less time stamp. Days that ``df`` has rows
+    of are replaced as a whole, all others stay, so a run for a day can be repeated. Null times
+    have a folder of their own."""
+    df.withColumn(DAY, F.to_date(column)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+
+
+def read_days(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
+              column: str = TIME) -> DataFrame:
+    """Rows from ``start`` on and before ``end`` (ISO times) of a table by :func:`write_days`; only
+    the folders of these days are read. Without any bound rows without a time are there too."""
+    df = spark.read.parquet(path)
+    for bound, is_start in ((start, True), (end, False)):
+        if bound is not None:
+            at = F.lit(bound).cast("timestamp_ntz")
+            df = df.filter((F.col(column) >= at) & (F.col(DAY) >= F.to_date(at)) if is_start
+                           else (F.col(column) < at) & (F.col(DAY) <= F.to_date(at)))
+    return df.drop(DAY)
+
+
 def write_csv(df: DataFrame, path: str, decimals: int | None = None) -> None:
     """CSV with a header; ``decimals`` fixes the digits of every floating-point column."""
     if decimals is not None:

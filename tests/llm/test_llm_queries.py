@@ -98,8 +98,32 @@ FORMS = [
     ("http://f.org/o'x", canonical("http://b.net/fr/8"), True),
     ("http://f1.org/", canonical("http://f.org/o'x"), True),
     ("http://f2.org/", canonical("mailto:a@b.net"), False),
+    ("http://g1.org/", "<link rel='shortlink canonical' href='http://b.net/es/g1'>", True),
+    ("http://g2.org/", refresh('"0; http://b.net/es/g2"'), True),
+    ("http://g3.org/", refresh("'5,http://b.net/es/g3'"), True),
+    ("http://g4.org/", '<link title="a > b" rel=canonical href="http://b.net/es/g4">', True),
+    ("http://g5.org/", "<!-- " + canonical("http://b.net/es/g5") + " -->", False),
+    ("http://g6.org/", "<script>x = '" + canonical("http://b.net/es/g6") + "';</script>", False),
+    ("http://g7.org/", "<link data-rel='canonical' href='http://b.net/es/g7'>", False),
+    ("http://g8.org/", "<base href='http://b.net/es/'>" + canonical("g8"), True),
+    ("http://g9.org/x/y", canonical("../es/g9") + "<base href='http://b.net/a/b'>", True),
+    ("http://h1.org:80/p", canonical("http://b.net/fr/h1"), True),
+    ("http://h2.org/", canonical("http://h1.org/p"), True),
+    ("https://h3.org:443/", canonical("http://b.net/fr/h3"), True),
+    ("http://h4.org/", canonical("https://h3.org"), True),
+    ("http://h5.org/", canonical("http://h1.org:8080/p"), False),
+    ("http://h7.org/", "<linker rel=canonical href='http://b.net/es/h7'>", False),
+    ("http://h8.org/", "<!-- a --><LINK\nREL=Canonical\nHREF=http://b.net/es/h8 />", True),
+    ("http://h9.org/", "<meta name=refresh content='0; url=http://b.net/es/h9'>", False),
 ]
 
+#: A star and a long chain of pages, all of which lead to a blocked page in the end.
+STAR = [(f"http://star{i}.org/", canonical("http://hub.org/"), True) for i in range(300)]
+CHAIN = [(f"http://chain.org/{i}", canonical(f"http://chain.org/{i + 1}"), True)
+         for i in range(200)]
+FORMS += STAR + CHAIN + [("http://hub.org/", canonical("http://chain.org/7"), True),
+                         ("http://chain.org/200", canonical("http://b.net/es/end"), True)]
+
 
 def test_every_form_of_link_makes_an_alias(spark):
     pages = spark.createDataFrame([(i, url, html) for i, (url, html, _) in enumerate(FORMS)],

@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.entities import html5
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,8 +18,13 @@ from thermolens.llm.components import components
 MOST_RULES = 1000
 #: A name, and a value in double quotes, in single quotes or in none.
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)\s*=\s*(?:"([^"]*)|'([^']*)|([^\s>]+))""")
-#: What follows url= in the content of a refresh tag, its quotes being optional.
-REFRESH = re.compile(r"""(?i)url\s*=\s*(?:"([^"]*)|'([^']*)|(\S+))""")
+#: What a page shows to nobody, and the tags that may hold links. A quoted value may hold a ``>``;
+#: a tag whose quotes do not match ends at the first one.
+TAG = re.compile(r"""(?is)<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript)\b.*?(?:</\1\s*>|\Z)
+    |<(?P<kind>link|meta|base)(?=[\s/>])(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*>)""", re.VERBOSE)
+#: The link in the content of a refresh tag: after the delay, or after url=, its quotes being optional.
+REFRESH = re.compile(r"""(?i)(?:^\s*[\d.]+\s*(?:[;,]\s*|\s)(?:url\s*=\s*)?|url\s*=\s*)"""
+                     r"""(?:"([^"]*)|'([^']*)|(\S+))""")
 #: In an attribute, a name without semicolon is no entity before = or a letter or digit.
 ENTITY = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*(?:;|(?![=A-Za-z0-9])))")
 
@@ -76,9 +82,11 @@ def without_dots(path: Column) -> Column:
 
 
 def node_of(url: Column) -> Column:
-    """What a url denotes: host, path without dot segments and query, without scheme and
-    fragment."""
+    """What a url denotes: host without its scheme's own port, path without dot segments and query,
+    without scheme and fragment."""
     host, path = split_url(url)
+    host = F.when(url.rlike("(?i)^http:"), F.regexp_replace(host, ":80$", "")).when(
+        url.rlike("(?i)^https:"), F.regexp_replace(host, ":443$", "")).otherwise(host)
     query = F.regexp_extract(url, r"^.*?://[^?#]*([^#]*)", 1)
     return F.when(F.instr(url, "://") > 0, F.concat(
         host, F.when(path == "", "/").otherwise(without_dots(path)), query))
@@ -103,36 +111,56 @@ def target_of(url: Column, link: Column) -> Column:
                     F.regexp_extract(made, r"^.*?://[^?#]*(.*)", 1))
 
 
-def link_of(tag: str) -> str:
-    """The link of a canonical or refresh tag, as the page means it: without quotes, entities and
-    the white space that urls do not have; empty if there is none."""
+def attributes(tag: str) -> dict[str, str]:
+    """The attributes of a tag's inside by lower-case name, the first of each name; values as the
+    page means them, without quotes, entities and the white space that urls do not have."""
     found: dict[str, str] = {}
     for name, *values in ATTRIBUTE.findall(tag.removesuffix(">")):
         found.setdefault(name.lower(), ENTITY.sub(
             lambda m: html.unescape(m[0]) if m[0][1] == "#" or m[0][1:] in html5 else m[0],
             "".join(values)))
-    link = found.get("href")
-    if link is None:
-        refresh = REFRESH.search(found.get("content", ""))
-        link = "".join(x or "" for x in refresh.groups()) if refresh else ""
-    return re.sub(r"[\t\r\n]", "", link).strip()
+    return found
+
+
+def links_of(url: str, page: str) -> list[dict[str, str]]:
+    """``link`` and ``base``, the url that it starts from, of every canonical link and every redirect
+    by a refresh tag; comments, scripts and the like have none."""
+    base, links = "", []
+    for tag in TAG.finditer(page):
+        if not tag["kind"]:
+            continue
+        kind, found = tag["kind"].lower(), attributes(tag["rest"])
+        link = ""
+        if kind == "base":
+            base = base or found.get("href", "")
+        elif kind == "link" and "canonical" in found.get("rel", "").lower().split():
+            link = found.get("href", "")
+        elif kind == "meta" and found.get("http-equiv", "").strip().lower() == "refresh":
+            refresh = REFRESH.search(found.get("content", ""))
+            link = "".join(x or "" for x in refresh.groups()) if refresh else ""
+        if link := re.sub(r"[\t\r\n]", "", link).strip():
+            links.append(link)
+    try:
+        base = urljoin(url, re.sub(r"[\t\r\n]", "", base).strip()) if base else url
+    except ValueError:  # no url
+        base = url
+    base = base if "://" in base else url
+    return [{"base": base, "link": link} for link in links]
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """url and target of every canonical link and every redirect by a refresh tag."""
-    @F.pandas_udf("string")
-    def links_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for tags in batches:
-            yield pd.Series([link_of(t) for t in tags], dtype=object)
-
-    tags = F.filter(
-        F.regexp_extract_all(F.coalesce(F.col("html").cast("string"), F.lit("")),
-                             F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0)),
-        lambda t: F.lower(t).rlike(r"rel\s*=\s*[\"']?canonical|http-equiv\s*=\s*[\"']?refresh"))
-    url = F.col("url").cast("string")
-    return (pages.select(url.alias("url"), F.explode(tags).alias("tag"))
-            .select("url", links_of("tag").alias("link")).filter("link <> ''")
-            .select("url", target_of(F.col("url"), F.col("link")).alias("target")))
+    @F.pandas_udf("array<struct<base: string, link: string>>")
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for urls, texts in batches:
+            yield pd.Series([links_of(*x) for x in zip(urls, texts)], dtype=object)
+
+    some = pages.select(F.col("url").cast("string").alias("url"),
+                        F.col("html").cast("string").alias("html")).filter(
+        F.col("url").isNotNull() & F.col("html").rlike("(?i)canonical|refresh"))
+    links = some.select("url", F.explode(found("url", "html")).alias("l"))
+    return links.select("url", F.col("l.base").alias("base"), F.col("l.link").alias("link")).select(
+        "url", target_of(F.col("base"), F.col("link")).alias("target"))
 
 
 def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -10,10 +10,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from thermolens.llm.batches import by_bytes
 from thermolens.llm.common import partitions, settle, whole_text, with_row
 from thermolens.llm.tokens import encoder
 
 HASHED, DIMENSIONS, BITS = 256, 3, 10
+#: Words and parts of words that a task remembers, and bytes of text that it encodes at a time.
+MEMORY, CHUNK = 1 << 17, 1 << 20
 #: Keys that are sampled to cut the order into ranges.
 SAMPLE = 100_000
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -71,12 +74,11 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     The key's low bits are a hash of the row, so documents that share a cell are still spread.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = encoder(path, MEMORY)
         size = max(bpe.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
         project, end = Projection(size), np.array([end_id], bpe.dtype).tobytes()
         for batch in batches:
-            for k in range(0, len(batch), 512):
-                part = batch.slice(k, 512)
+            for part in by_bytes(batch, "text", CHUNK):
                 packed = [bpe.packed(t.as_py()) + end for t in part["text"]]
                 cells = np.array([project.cell(bpe.ids(p)) for p in packed])
                 key = hilbert_key(cells) << 32 | part["spread"].to_numpy()
@@ -109,6 +111,7 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1) -> Dat
     gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
+    kind = encoder(path, MEMORY).dtype
     rows = settle(encoded(docs, path, end_id), "encoded")
     ranges = partitions(spark)
     share = min(1.0, SAMPLE / max(rows.count(), 1))
@@ -130,14 +133,14 @@ def pack(docs: DataFrame, path: str, length: int = 2048, end_id: int = 1) -> Dat
     starts = np.cumsum(tokens)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, part, place = encoder(path), -1, 0
+        part, place = -1, 0
         for batch in batches:
             out = []
             for at, doc_id, packed in zip(batch["part"].to_pylist(), batch["doc_id"].to_pylist(),
                                           batch["ids"]):
                 if at != part:
                     part, place = at, int(starts[at])
-                ids = bpe.ids(packed.as_py()).astype("<u4")
+                ids = np.frombuffer(packed.as_py(), kind).astype("<u4")
                 start = 0
                 while start < ids.size:
                     offset = place % length

@@ -171,11 +171,11 @@ def test_the_machine_learns_a_pair_of_terms():
     rows = [planted(r, i) for i in range(3000)]
     terms = [toxicity.terms_of(t, {}) for t, _ in rows]
     machine = toxicity.fit(terms[:2000], np.array([y for _, y in rows[:2000]], float), epochs=20)
-    right = [(machine.score(t) >= 0.5) == bool(y) for t, (_, y) in zip(terms[2000:], rows[2000:])]
+    right = [(p >= 0.5) == bool(y) for p, (_, y) in zip(machine.scores(terms[2000:]), rows[2000:])]
     assert np.mean(right) > 0.97
     linear = toxicity.Machine(machine.terms, machine.bias, machine.linear,
                               np.zeros_like(machine.factors))
-    alone = [(linear.score(t) >= 0.5) == bool(y) for t, (_, y) in zip(terms[2000:], rows[2000:])]
+    alone = [(p >= 0.5) == bool(y) for p, (_, y) in zip(linear.scores(terms[2000:]), rows[2000:])]
     assert np.mean(alone) < np.mean(right)
 
 
@@ -191,7 +191,8 @@ def test_the_machine_learns_a_pair_whose_terms_alone_tell_nothing():
     machine = toxicity.fit([t for t, _ in rows[:2400]], np.array([y for _, y in rows[:2400]]),
                            epochs=20)
     assert np.isin(toxicity.terms_of("insultus groupus", {}), machine.terms).all()
-    right = [(machine.score(t) >= 0.5) == bool(y) for t, y in rows[2400:]]
+    right = [(p >= 0.5) == bool(y)
+             for p, (_, y) in zip(machine.scores([t for t, _ in rows[2400:]]), rows[2400:])]
     assert np.mean(right) > 0.97
 
 
@@ -220,3 +221,20 @@ def test_a_document_with_many_rows_is_fitted_once(spark):
                                   held_out=None) for rows in (texts, texts + [texts[7]] * 300))
     assert once.bias == often.bias and (once.terms == often.terms).all()
     assert (once.linear == often.linear).all() and (once.factors == often.factors).all()
+
+
+def test_scores_are_sums_over_all_pairs_of_terms():
+    r = np.random.default_rng(6)
+    terms = np.sort(r.choice(1000, 50, replace=False)).astype(np.int32)
+    machine = toxicity.Machine(terms, -0.3, r.normal(size=50), r.normal(size=(50, 8)) / 3,
+                               r.choice([1.0, 0.3], 50))
+    documents = [np.sort(r.choice(1000, n, replace=False)).astype(np.int32)
+                 for n in (0, 1, 30, 400, 1000)] + [terms[:2]]
+    for found, document in zip(machine.scores(documents), documents):
+        at = [k for k, t in enumerate(terms) if t in set(document.tolist())]
+        x = {k: machine.values[k] * max(sum(machine.values[j] ** 2 for j in at), 1) ** -0.25
+             for k in at}
+        y = machine.bias + sum(machine.linear[k] * x[k] for k in at) + sum(
+            machine.factors[j] @ machine.factors[k] * x[j] * x[k]
+            for i, j in enumerate(at) for k in at[:i])
+        assert abs(found - 1 / (1 + np.exp(-np.clip(y, -30, 30)))) < 1e-9

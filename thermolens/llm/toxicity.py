@@ -17,7 +17,7 @@ from thermolens.llm.common import whole_text
 
 WORD = re.compile(r"[^\W\d_]+")
 SPACE = 1 << 20
-MEMORY = 400_000
+MEMORY = 1 << 17
 FACTORS = 8
 #: The value of a term whose share hardly differs between the labels; that of all others is 1.
 HELD_BACK = 0.3
@@ -48,23 +48,29 @@ class Machine:
     factors: np.ndarray
     values: np.ndarray | None = None  # of the terms; 1 if not given
 
-    def score(self, terms: np.ndarray) -> float:
-        at = np.searchsorted(self.terms, terms)
+    def scores(self, documents: list[np.ndarray]) -> np.ndarray:
+        """The probability of the label for each document's terms, all documents at once."""
+        n = len(documents)
+        if not self.terms.size or not n:
+            return np.full(n, 1 / (1 + np.exp(-self.bias)))
+        flat = np.concatenate(documents)
+        owner = np.repeat(np.arange(n), [d.size for d in documents])
+        at = np.searchsorted(self.terms, flat)
         at[at == self.terms.size] = 0
-        at = at[self.terms[at] == terms] if self.terms.size else at[:0]
-        if not at.size:
-            return 1 / (1 + np.exp(-self.bias))
+        known = self.terms[at] == flat
+        at, owner = at[known], owner[known]
         value = np.ones(at.size) if self.values is None else self.values[at]
-        x = value * length(value @ value)
-        v = self.factors[at] * x[:, None]
-        pairs = (v.sum(0) ** 2 - (v ** 2).sum(0)).sum() / 2
-        y = self.bias + self.linear[at] @ x + pairs
-        return float(1 / (1 + np.exp(-np.clip(y, -30, 30))))
+        x = value * length(np.bincount(owner, value ** 2, n))[owner]
+        y = self.bias + np.bincount(owner, self.linear[at] * x, n)
+        for factor in self.factors.T:
+            v = factor[at] * x
+            y += (np.bincount(owner, v, n) ** 2 - np.bincount(owner, v ** 2, n)) / 2
+        return 1 / (1 + np.exp(-np.clip(y, -30, 30)))
 
 
-def length(squares: float) -> float:
+def length(squares: np.ndarray) -> np.ndarray:
     """What the values of a document's terms are multiplied by, so that long ones weigh no more."""
-    return max(squares, 1) ** -0.25
+    return np.maximum(squares, 1) ** -0.25
 
 
 def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = 6,
@@ -102,7 +108,7 @@ def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS,
         at[at == terms.size] = 0
         inside.append(at[terms[at] == d] if terms.size else at[:0])
     inside = [d.astype(np.int32) for d in inside]
-    scale = np.array([length(values[d] @ values[d]) for d in inside])
+    scale = length(np.array([values[d] @ values[d] for d in inside]))
     for held in [d[plain[d]] for d in inside], inside:
         for _ in range(epochs):
             order = random.permutation(labels.size)
@@ -185,10 +191,12 @@ def fold(column: str, folds: int):
 
 
 def score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
-    """All columns of ``docs`` and the probability of the toxic label.
+    """All columns of ``docs`` and, in column ``name`` (replaced if there is one), the probability
+    of the toxic label.
 
     Only whole texts are read; null counts as empty, and an empty text gets the score of a
-    document without terms. The machine is broadcast; it has at most SPACE terms.
+    document without terms, which is that of the bias alone. Repeated rows are scored each, and an
+    empty table gives no rows. The machine is broadcast; it has at most SPACE terms.
     """
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
@@ -196,12 +204,17 @@ def score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known: dict = {}
         for texts in batches:
-            yield pd.Series([model.value.score(terms_of(t, known)) for t in texts], dtype=float)
+            found = [np.empty(0)]
+            for k in range(0, len(texts), 512):
+                found.append(model.value.scores(
+                    [terms_of(t, known) for t in texts.iloc[k:k + 512]]))
+            yield pd.Series(np.concatenate(found))
 
     return docs.withColumn(name, scores(whole_text()))
 
 
 def drop_toxic(docs: DataFrame, machine: Machine, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``least``, with all their columns."""
+    """The rows of ``docs`` that score below ``least``, with all their columns. Null and empty texts
+    have the score of the bias alone, so they stay unless most labelled documents are toxic."""
     name = f"score_{uuid.uuid4().hex}"
     return score(docs, machine, name).filter(F.col(name) < least).drop(name)

@@ -73,6 +73,14 @@ def length(squares: np.ndarray) -> np.ndarray:
     return np.maximum(squares, 1) ** -0.25
 
 
+def counted(documents: list[np.ndarray]) -> np.ndarray:
+    """How many documents hold each of SPACE terms; a part of the documents at a time."""
+    out = np.zeros(SPACE, np.int64)
+    for k in range(0, len(documents), 512):
+        out += np.bincount(np.concatenate(documents[k:k + 512]), minlength=SPACE)
+    return out
+
+
 def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS, epochs: int = 6,
         rate: float = 0.1, penalty: float = 1e-4, least: int = 3, contrast: float = 4.0,
         seed: int = 5) -> Machine:
@@ -84,10 +92,10 @@ def fit(documents: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS,
     steps, and enter after ``epochs`` rounds with the others alone, so they learn what is left to
     explain, in as many rounds again.
     """
-    every = np.concatenate([*documents, np.empty(0, np.int32)])
-    size = [d.size for d in documents]
-    terms, at, seen = np.unique(every, return_inverse=True, return_counts=True)
-    toxic = np.bincount(at, np.repeat(labels, size), terms.size)
+    seen, toxic = (counted([d for d, y in zip(documents, labels) if y or not only])
+                   for only in (False, True))
+    terms = np.flatnonzero(seen).astype(np.int32)
+    seen, toxic = seen[terms], toxic[terms]
     sides = np.maximum([labels.sum(), labels.size - labels.sum()], 1)
     overall = seen / max(labels.size, 1)
     error = np.sqrt(overall * (1 - overall) * (1 / sides).sum()) + 1e-9

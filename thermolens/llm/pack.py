@@ -16,7 +16,7 @@ from thermolens.llm.tokens import encoder
 
 HASHED, DIMENSIONS, BITS = 256, 3, 10
 #: Words and parts of words that a task remembers, and bytes of text that it encodes at a time.
-MEMORY, CHUNK = 1 << 17, 1 << 20
+MEMORY, CHUNK = 1 << 18, 1 << 20
 #: Keys that are sampled to cut the order into ranges.
 SAMPLE = 100_000
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "

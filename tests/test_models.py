@@ -131,3 +131,38 @@ def test_nulls_one_class_and_empty_tables(spark, points, tmp_path):
     assert np.array_equal(again.probabilities(x), model.probabilities(x))
     big = blocks.packed(rows.coalesce(1)).select(F.sum("n"), F.max("n")).first()
     assert tuple(big) == (1500, 1500)
+
+
+def test_rounds_have_no_more_tasks_than_cores(spark, points, monkeypatch):
+    """Every task sends sums of its own, 500 times: partitions must not decide how many there are."""
+    x, y = points
+    seen, original = [], boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda scored, *args: seen.append(
+        scored.getNumPartitions()) or original(scored, *args))
+    for module in (blocks, boosting):
+        monkeypatch.setattr(module, "ROWS", 10)
+    model = boosting.BoostedTrees(rounds=2, depth=2).fit(frame(spark, x, y, 60))
+    assert len(model.rounds) == 2 and max(seen) <= spark.sparkContext.defaultParallelism
+
+
+def test_sums_of_grouped_columns_are_those_of_each(points):
+    r = np.random.default_rng(4)
+    sizes = [64, 64, 1, 3, 64, 200, 2, 7]
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    assert boosting.column_groups(offsets) == [[0, 1, 2], [3, 4], [5, 6, 7]]
+    codes = np.stack([r.integers(0, s, 900) for s in sizes]).astype(np.uint8)
+    y, raw = r.integers(0, 3, 900), r.normal(size=(900, 3))
+    trees = boosting.Trees.empty(3, 2)
+    trees.column[:, 0], trees.cut[:, 0] = [1, 5, 7], [30, 100, 3]
+    asked = [np.array([1]), np.array([1, 2]), np.zeros(0, np.int64)]
+    found = boosting.histograms(codes, y, raw, trees, 1, asked, offsets)
+    p = np.exp(raw) / np.exp(raw).sum(1, keepdims=True)
+    for k, nodes in enumerate(asked):
+        at = 1 + (codes[trees.column[k, 0]] > trees.cut[k, 0])
+        for i, node in enumerate(nodes):
+            for c, size in enumerate(sizes):
+                here = slice(offsets[c], offsets[c + 1])
+                for side, w in enumerate((p[:, k] - (y == k), p[:, k] * (1 - p[:, k]))):
+                    assert np.allclose(found[k][side, i, here], np.bincount(
+                        codes[c][at == node], w[at == node], size))
+    assert found[2].shape == (2, 0, offsets[-1])

@@ -7,7 +7,6 @@ from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one matrix.
 ROWS = 32_768
+#: Rows that one task of a fit reads, at most; below that a fit has a task per core.
+TASK_ROWS = 2 ** 21
 #: With more partitions than this, partial results are added up in tasks before the driver's turn.
 DIRECT = 64
 
@@ -68,6 +69,14 @@ def matrices(df: DataFrame, features: str = "features", label: str = "label") ->
     return packed(df, features, label).rdd.mapPartitionsWithIndex(unpack)
 
 
+def tasks_for(blocks: RDD, rows: int) -> int:
+    """How many tasks shall read the matrices of ``rows`` rows: every one sends sums of its own, so
+    their number follows the cores, not the partitions. Small tables need no more tasks than half
+    full matrices, and large ones as many as keep a task's rows bounded."""
+    wanted = max(blocks.context.defaultParallelism, -(-rows // TASK_ROWS))
+    return max(1, min(blocks.getNumPartitions(), wanted, -(-2 * rows // ROWS)))
+
+
 def add_up(blocks: RDD, work: Callable[[tuple], Sequence[np.ndarray]]) -> list[np.ndarray] | None:
     """The sums, array by array, of what ``work`` gives for every block; None without blocks."""
     def both(a: Sequence[np.ndarray], b: Sequence[np.ndarray]) -> list[np.ndarray]:
@@ -92,11 +101,13 @@ def with_probabilities(df: DataFrame, score: Callable[[np.ndarray], np.ndarray],
                        features: str = "features") -> DataFrame:
     """``df`` with ``probability`` (vector) and ``prediction`` (the first of the likeliest classes,
     as a double). ``score`` turns a matrix of rows into a matrix of probabilities."""
-    @F.pandas_udf("array<double>")
-    def shares(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def shares(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            made = score(np.stack(batch.to_numpy())) if len(batch) else []
-            yield pd.Series([row.tolist() for row in made], dtype=object)
+            x = batch.flatten().to_numpy(zero_copy_only=False)
+            made = score(x.reshape(len(batch), -1)) if len(batch) else np.zeros((0, 1))
+            ends = np.arange(len(batch) + 1, dtype=np.int32) * made.shape[1]
+            yield pa.ListArray.from_arrays(ends, pa.array(made.ravel()))
 
     told = df.withColumn("probability", shares(vector_to_array(features)))
     best = F.array_position("probability", F.array_max("probability")) - 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,12 +11,17 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thermolens.operators.blocks import ROWS, add_up, kept, matrices, softmax, with_probabilities
+from thermolens.operators.blocks import (ROWS, add_up, kept, matrices, softmax, tasks_for,
+                                          with_probabilities)
 from thermolens.schema import LABELS
 from thermolens.session import shared_folder
 
 #: Rounds after which scores are written, so that a lost executor costs no more of them.
 CUT = 25
+#: Combinations of bins that are counted at once, at most.
+CELLS = 4096
+#: Matrices that are joined for the rounds, as sums of a matrix cost the same for few rows.
+JOINED = 4
 
 
 @dataclass
@@ -71,27 +77,51 @@ def coded(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.searchsorted(e, x[:, c]).astype(np.uint8) for c, e in enumerate(edges)])
 
 
+def column_groups(offsets: np.ndarray) -> list[list[int]]:
+    """Neighbouring columns whose bins make at most CELLS combinations."""
+    groups, cells = [], CELLS + 1
+    for c, size in enumerate(np.diff(offsets).tolist()):
+        if cells * size > CELLS:
+            groups.append([])
+            cells = 1
+        groups[-1].append(c)
+        cells *= size
+    return groups
+
+
 def histograms(codes: np.ndarray, y: np.ndarray, raw: np.ndarray, trees: Trees, level: int,
                active: list[np.ndarray], offsets: np.ndarray) -> list[np.ndarray]:
-    """Sums of gradients and Hessians per class: active node x (column, bin)."""
-    shares, width = softmax(raw.astype(float)), int(offsets[-1])
+    """Sums of gradients and Hessians per class: active node x (column, bin).
+
+    Columns are added up in groups, by the combination of their bins, and told apart afterwards."""
+    shares, width = np.ascontiguousarray(softmax(raw.astype(float)).T), int(offsets[-1])
+    groups = []
+    for columns in column_groups(offsets):
+        sizes = [int(offsets[c + 1] - offsets[c]) for c in columns]
+        joint = codes[columns[0]]
+        for c, size in zip(columns[1:], sizes[1:]):
+            joint = joint.astype(np.uint16) * np.uint16(size) + codes[c]
+        groups.append((columns, sizes, joint))
     out = []
     for k, nodes in enumerate(active):
-        place = np.full(trees.value.shape[1], -1)
-        place[nodes] = np.arange(nodes.size)
-        at = place[trees.node(codes, k, level)]
-        inside = at >= 0
-        whole = inside.all()
-        p = shares[:, k] if whole else shares[inside, k]
-        slope = p - ((y if whole else y[inside]) == k)
-        bend = p * (1 - p)
-        start = at * width if whole else at[inside] * width
-        sums = np.zeros((2, nodes.size * width))
-        for c, row in enumerate(codes):
-            key = start + (row if whole else row[inside]) + offsets[c]
-            sums[0] += np.bincount(key, slope, nodes.size * width)
-            sums[1] += np.bincount(key, bend, nodes.size * width)
-        out.append(sums.reshape(2, nodes.size, width))
+        p, own, rows = shares[k], y == k, None
+        if level:
+            place = np.full(trees.value.shape[1], -1)
+            place[nodes] = np.arange(nodes.size)
+            at = place[trees.node(codes, k, level)]
+            rows = np.flatnonzero(at >= 0)
+            at, p, own = at[rows], p[rows], own[rows]
+        slope, bend = p - own, p * (1 - p)
+        sums = np.zeros((2, nodes.size, width))
+        for columns, sizes, joint in groups if nodes.size else ():
+            cells = int(np.prod(sizes))
+            key = joint if rows is None else at * cells + joint[rows]
+            for side, weights in enumerate((slope, bend)):
+                found = np.bincount(key, weights, nodes.size * cells).reshape(-1, *sizes)
+                for i, c in enumerate(columns):
+                    others = tuple(j + 1 for j in range(len(columns)) if j != i)
+                    sums[side, :, offsets[c]:offsets[c + 1]] = found.sum(others)
+        out.append(sums)
     return out
 
 
@@ -230,11 +260,10 @@ class BoostedTrees:
         shared_folder(spark)  # sets the folder of checkpoints
         with kept(blocks):
             counts = add_up(blocks, lambda b: [np.bincount(b[0], minlength=self.classes)])[0]
-            # Small tables need no more tasks than half full matrices.
-            tasks = max(1, min(blocks.getNumPartitions(), -(-2 * int(counts.sum()) // ROWS)))
+            tasks = tasks_for(blocks, int(counts.sum()))
             base = np.log((counts + 1e-3) / (counts.sum() + 1e-3 * self.classes))
             rounds: list[Trees] = []
-            scored, old = blocks.coalesce(tasks).map(
+            scored, old = blocks.coalesce(tasks).mapPartitions(_joined).map(
                 lambda b: (*b, np.tile(base.astype(np.float32), (b[0].size, 1)))), []
             for i in range(self.rounds if (counts > 0).sum() > 1 else 0):
                 scored.persist(StorageLevel.MEMORY_AND_DISK)
@@ -253,6 +282,19 @@ class BoostedTrees:
         return BoostedTreesModel(edges, base, rounds)
 
 
+def _joined(blocks: Iterator[tuple]) -> Iterator[tuple]:
+    """(y, codes) of up to JOINED full matrices in one."""
+    held, n = [], 0
+    for block in blocks:
+        if n + block[0].size > JOINED * ROWS:
+            yield np.concatenate([b[0] for b in held]), np.concatenate([b[1] for b in held], 1)
+            held, n = [], 0
+        held.append(block)
+        n += block[0].size
+    if held:
+        yield np.concatenate([b[0] for b in held]), np.concatenate([b[1] for b in held], 1)
+
+
 def _add_round(trees: Trees):
     def add(block: tuple) -> tuple:
         y, codes, raw = block

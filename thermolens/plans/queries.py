@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +18,7 @@ from thermolens.functions.numeric import rounded_half_away
 from thermolens.operators import bitmaps, curves, evaluate, features, impute, ml, profile, rollup, rules
 from thermolens.operators import scoring, split
 from thermolens.operators.correlation import class_association, correlation_matrix
+from thermolens.operators.forest import ForestModel
 from thermolens.plans.jobs import feature_job, fit_train_apply_test, tuning_job
 from thermolens.schema import (DELTAS, ENGINEERED, ID, IMPUTED, LABELS, MODEL_FEATURES, PHYSICAL,
                                RATIOS, RAW_SCHEMA, SCORING_SCHEMA, TARGET, TIME, VECTOR_FEATURES,
@@ -688,7 +688,7 @@ def saved_model_scores(spark, folder):
     pipeline.write().save(f"{path}/pipeline")
     _fit_model(pipeline, train, _forest).write().save(f"{path}/forest")
     loaded = PipelineModel.load(f"{path}/pipeline")
-    forest = RandomForestClassificationModel.load(f"{path}/forest")
+    forest = ForestModel.load(f"{path}/forest")
     return _answers(scoring.diagnose(load_readings(spark, folder), loaded, forest,
                                      _weights(forest)))
 

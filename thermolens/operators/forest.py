@@ -96,30 +96,32 @@ def drawn(seed: int, tree: int, number: tuple[int, int], n: int) -> np.ndarray:
 
 def node_keys(block: tuple, parts: tuple, level: int, nodes: np.ndarray, picks: np.ndarray,
               weights: np.ndarray, bins: int, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """(place in the counts, weight) of every drawn row that stands at one of ``nodes``, for each of
-    the columns picked there. Rows that ended in leaves are left behind on the way."""
+    """The drawn rows that stand at one of ``nodes``: for each column picked there their places in its
+    counts, and their weights. Rows that ended in leaves are left behind on the way."""
     _, y, codes = block
     column_of, cut_of, child_of = parts
     flat, n = codes.ravel(), y.size
+    begins = column_of.astype(np.int64) * n  # where a node's column begins; negative at leaves
     rows = np.flatnonzero(weights)
     at = np.zeros(rows.size, np.int64)
     for _ in range(level):
-        column = column_of[at]
-        inner = column >= 0
+        begin = begins.take(at)
+        inner = begin >= 0
         if not inner.all():
-            rows, at, column = rows[inner], at[inner], column[inner]
-        at = child_of[at] + (flat[column * np.int64(n) + rows] > cut_of[at])
+            rows, at, begin = rows[inner], at[inner], begin[inner]
+        begin += rows
+        at = child_of.take(at) + (flat.take(begin) > cut_of.take(at))
     place = np.full(len(column_of), -1)
     place[nodes] = np.arange(nodes.size)
-    slot = place[at]
-    if (slot < 0).any():
-        rows, slot = rows[slot >= 0], slot[slot >= 0]
-    own, width = y[rows], picks.shape[1]
-    keys = np.empty((width, rows.size), np.int64)
-    for j in range(width):
-        code = flat[picks[slot, j] * np.int64(n) + rows]
-        keys[j] = ((slot * width + j) * bins + code) * classes + own
-    return keys.ravel(), np.tile(weights[rows], width)
+    slot = place.take(at)
+    here = slot >= 0
+    if not here.all():
+        rows, slot = rows[here], slot[here]
+    first = slot * (bins * classes) + y.take(rows)
+    keys = np.empty((picks.shape[1], rows.size), np.int64)
+    for j, begin in enumerate(np.ascontiguousarray(picks.T) * np.int64(n)):
+        np.add(first, flat.take(begin.take(slot) + rows) * np.int64(classes), out=keys[j])
+    return keys, weights.take(rows).astype(float)
 
 
 def best_splits(sums: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -255,21 +257,24 @@ def _splits(blocks, scan: list[tuple], parts: dict, level: int, seed: int, bins:
     def count(rows: Iterator[tuple]) -> Iterator[tuple]:
         held = list(rows)
         for i, (t, nodes, picks) in enumerate(scan):
-            sums, keys, n = np.zeros(picks.size * bins * classes), [], 0
+            m, width = picks.shape
+            sums, keys, n = np.zeros((width, m * bins * classes)), [], 0
             for block in held:
                 keys.append(node_keys(block, parts[t], level, nodes, picks,
                                       drawn(seed, t, block[0], block[1].size), bins, classes))
                 n += keys[-1][0].size
                 if n > HELD or block is held[-1]:
-                    sums += np.bincount(np.concatenate([k for k, _ in keys]),
-                                        np.concatenate([w for _, w in keys]), sums.size)
+                    weights = np.concatenate([w for _, w in keys])
+                    for j in range(width):
+                        sums[j] += np.bincount(np.concatenate([k[j] for k, _ in keys]), weights,
+                                               m * bins * classes)
                     keys, n = [], 0
             yield i, sums.astype(np.int32)
 
     def pick(entry: tuple) -> tuple:
         i, sums = entry
         picks = scan[i][2]
-        return i, best_splits(sums.reshape(*picks.shape, bins, classes), picks)
+        return i, best_splits(sums.reshape(picks.shape[1], -1, bins, classes).swapaxes(0, 1), picks)
 
     found = dict(blocks.mapPartitions(count).reduceByKey(np.add, blocks.getNumPartitions()).map(
         pick).collect())

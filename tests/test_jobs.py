@@ -219,3 +219,16 @@ def test_distinct_counts_of_batches_add_up(spark, readings, tmp_path):
     codes = book.table().collect()
     assert len({r.code for r in codes}) == len({(r.kind, r.value) for r in codes}) == len(codes)
     assert bitmaps.rollup_of(bitmaps.building_state(readings.limit(0), book)).count() == 0
+
+
+def test_raw_columns_are_dealt_out_not_derived_ones(spark, folder):
+    from thermolens.plans.queries import QUERIES
+    from thermolens.sources.fixture import load_readings
+
+    plain, spread = (load_readings(spark, folder, spread=s) for s in (False, True))
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, spread.collect()), key=str)
+    plan = io.StringIO()
+    with redirect_stdout(plan):
+        QUERIES["assembled_features"](spark, folder).explain("formatted")
+    dealt = re.findall(r"\) Exchange\nInput \[(\d+)\].*\nArguments: RoundRobin", plan.getvalue())
+    assert dealt and max(map(int, dealt)) <= 6

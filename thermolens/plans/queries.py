@@ -493,9 +493,10 @@ def global_median_impute(spark, folder):
 
 
 def _vectors(spark, folder, stages: Sequence) -> DataFrame:
-    with persisted(spread_rows(_train(spark, folder))) as train:
+    readings = load_readings(spark, folder, spread=True)
+    with persisted(split.split_by_cutoff(readings, CUTOFF)[0]) as train:
         model = Pipeline(stages=list(stages)).fit(train)
-    return model.transform(spread_rows(load_readings(spark, folder)))
+    return model.transform(readings)
 
 
 @query

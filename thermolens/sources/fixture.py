@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from thermolens.session import spread_rows
+
 # Stating the schema saves the job that would read it from the files.
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
@@ -50,6 +52,8 @@ def readings_from_events(spark: SparkSession, events: DataFrame) -> DataFrame:
     return spark.sql(READINGS_SQL, events=events)
 
 
-def load_readings(spark: SparkSession, folder: str) -> DataFrame:
+def load_readings(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    """All readings; with ``spread`` their few raw columns are dealt out before the many derived ones
+    are made, in front of work on every row."""
     events = spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
-    return readings_from_events(spark, events)
+    return readings_from_events(spark, spread_rows(events) if spread else events)

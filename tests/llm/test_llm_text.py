@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_corpus import ODD
 from tokenizers import Tokenizer
@@ -31,6 +32,27 @@ def test_words_encode_as_the_library_does(library):
             text, add_special_tokens=False).ids
 
 
+def test_texts_encode_together_as_the_library_does(library):
+    r, bpe_ = random.Random(2), WordBpe(PATH, remember=50)
+    pieces = [*ODD, *map(chr, range(256)), "<|endoftext|>", "'LL", "'s", "the", "\u3000", "Ω"]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randrange(30))) for _ in range(3000)]
+    for part in (texts[:1000], texts[1000:], [""], []):
+        ids, starts = bpe_.encode(pa.array(["cut off", *part], pa.string())[1:])
+        assert [ids[i:j].tolist() for i, j in zip(starts[:-1], starts[1:])] == [
+            e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+
+
+def test_a_part_is_encoded_once_however_full_the_memory_is(library, monkeypatch):
+    bpe_, encoded = WordBpe(PATH, remember=5), Counter()
+    pack_ = bpe_._pack
+    monkeypatch.setattr(bpe_, "_pack", lambda ids: encoded.update(n=1) or pack_(ids))
+    letters = [a + b for a in "bcdfghklmn" for b in "aeiouyrst"]
+    text = " ".join([*letters, *(x + "." for x in letters), *map(str.upper, letters)] * 5)
+    assert bpe_.ids(bpe_.packed(text)).tolist() == library.encode(
+        text, add_special_tokens=False).ids
+    assert encoded["n"] == len(letters) + 1
+
+
 @pytest.mark.parametrize("hot", [1 << 20, 300, 0])
 def test_encode_and_decode_equal_the_library(docs, rows, library, hot):
     encoded = bpe.encode(docs, PATH, limit=hot)

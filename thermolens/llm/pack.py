@@ -15,8 +15,8 @@ from thermolens.llm.common import partitions, settle, whole_text, with_row
 from thermolens.llm.tokens import encoder
 
 HASHED, DIMENSIONS, BITS = 256, 3, 10
-#: Words and parts of words that a task remembers, and bytes of text that it encodes at a time.
-MEMORY, CHUNK = 1 << 18, 1 << 20
+#: Parts of words that a task remembers, and bytes of text that it encodes at a time.
+MEMORY, CHUNK = 1 << 19, 1 << 22
 #: Keys that are sampled to cut the order into ranges.
 SAMPLE = 100_000
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -61,10 +61,14 @@ class Projection:
         self.sign = random.choice([-1.0, 1.0], ids)
         self.plane = random.standard_normal((HASHED, DIMENSIONS))
 
-    def cell(self, ids: np.ndarray) -> np.ndarray:
-        vector = np.bincount(self.place[ids], self.sign[ids], HASHED)
-        length = np.linalg.norm(vector) or 1.0
-        share = (1 + np.tanh(0.8 * (vector @ self.plane) / length)) / 2
+    def cells(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The cell of every document, given the ids of all and where each starts, with the end."""
+        n = starts.size - 1
+        document = np.repeat(np.arange(n) * HASHED, np.diff(starts))
+        vectors = np.bincount(document + self.place[ids], self.sign[ids], n * HASHED)
+        vectors = vectors.reshape(n, HASHED)
+        length = np.linalg.norm(vectors, axis=1, keepdims=True)
+        share = (1 + np.tanh(0.8 * (vectors @ self.plane) / np.where(length, length, 1.0))) / 2
         return np.minimum(share * (1 << BITS), (1 << BITS) - 1).astype(np.int64)
 
 
@@ -76,16 +80,18 @@ def encoded(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path, MEMORY)
         size = max(bpe.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1)
-        project, end = Projection(size), np.array([end_id], bpe.dtype).tobytes()
+        project = Projection(size)
         for batch in batches:
             for part in by_bytes(batch, "text", CHUNK):
-                packed = [bpe.packed(t.as_py()) + end for t in part["text"]]
-                cells = np.array([project.cell(bpe.ids(p)) for p in packed])
-                key = hilbert_key(cells) << 32 | part["spread"].to_numpy()
-                n = np.array([len(p) // bpe.dtype.itemsize for p in packed], np.int64)
+                ids, starts = bpe.encode(part["text"])
+                ids = np.insert(ids, starts[1:], end_id)
+                starts = starts + np.arange(starts.size)
+                key = hilbert_key(project.cells(ids, starts)) << 32 | part["spread"].to_numpy()
+                packed = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(
+                    (starts * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [part["row"], part["doc_id"], pa.array(n), pa.array(key),
-                     pa.array(packed, pa.binary())], ["row", "doc_id", "n_tokens", "key", "ids"])
+                    [part["row"], part["doc_id"], pa.array(np.diff(starts)), pa.array(key),
+                     packed], ["row", "doc_id", "n_tokens", "key", "ids"])
         bpe.forget()
 
     numbered = with_row(docs.select(F.col("doc_id").cast("long").alias("doc_id"),

@@ -87,6 +87,42 @@ def test_merging_of_random_cuts_in_any_lanes():
         assert (ends[0][cut_a] == common).all() and (ends[1][cut_b] == common).all()
 
 
+@pytest.mark.parametrize("cuts", [True, False])
+@pytest.mark.parametrize("remember", [0, 20, 1 << 18])
+def test_pieces_encode_as_whole_texts_do(remember, cuts, monkeypatch):
+    monkeypatch.setattr(align, "REMEMBER", remember)
+    own, r = align.Tokenizers(*PATHS), random.Random(6)
+    assert own.cuts
+    own.cuts = cuts
+    parts = (" ", " ", "  ", "\n", "\t", "\x85", "\u3000", "\x1c", "\u180e", "a", "the", "b.", "'s",
+             "▁", "日本", "\u0301", "<s>", "<|endoftext|>", "<0x0A>", "x" * 70, "\x00")
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(25))) for _ in range(900)]
+    texts += [f"a{chr(c)}  b{chr(c)} {chr(c)} {chr(c)}'s " for c in range(0x3001) if c % 3 or c < 256]
+    for some in (texts[:300], texts[300:], [""], []):
+        a, n_a, b, n_b = own.encode(some)
+        at_a, at_b = np.concatenate(([0], np.cumsum(n_a))), np.concatenate(([0], np.cumsum(n_b)))
+        for i, text in enumerate(some):
+            told = [[k for k, *_ in side] for side in token_spans(own, text)]
+            assert [a[at_a[i]:at_a[i + 1]].tolist(), b[at_b[i]:at_b[i + 1]].tolist()] == told
+
+
+def test_a_tokenizer_gets_a_repeated_piece_once():
+    class Counted:
+        def __init__(self, model):
+            self.model, self.characters = model, 0
+
+        def encode(self, texts, **options):
+            self.characters += sum(map(len, texts))
+            return self.model.encode(texts, **options)
+
+    own = align.Tokenizers(*PATHS)
+    own.b = Counted(own.b)
+    text = "The cat sat on the mat, one of the cats. " * 200
+    found = align.align_texts(own, [text, text])
+    assert found.groups[0] == found.groups[1] and found.n_b[0] > 1000
+    assert own.b.characters < 200
+
+
 @pytest.mark.parametrize("limit", [1 << 20, 50, 0])
 def test_query_equals_counts_by_hand(spark, docs, rows, both, tmp_path, limit, monkeypatch):
     kept = [r for r in rows if r[1] is None or len(r[1]) < 4000]

@@ -2,29 +2,42 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from thermolens.llm.batches import by_bytes
+from thermolens.llm.batches import by_bytes, ranges
 from thermolens.llm.common import settle, whole_text, with_row
 from thermolens.llm.tokens import ALPHABET
 
 #: Bytes of text that are aligned at a time.
-CHUNK = 1 << 19
+CHUNK = 1 << 20
 #: Bytes of a text that one entry of the state vector walks; a longer text has several entries.
-LANE = 4096
+LANE = 1024
+#: Pieces of text whose ids a worker remembers, the characters of the longest of them, and how many
+#: new ones the tokenizers get as one text.
+REMEMBER, LONGEST, TOGETHER = 1 << 18, 64, 128
+#: An empty word or white space at the end: a space behind it may belong to a token with it.
+OPEN = r"(^|[\x{9}-\x{d}\x{1c}-\x{1f}\x{85}\x{180e}\pZ])\z"
 #: Id pairs that a task counts before it hands them on.
 COUNTED = 1 << 20
 
 
 class Tokenizers:
     """Tokenizer A (a byte-level file of the tokenizers library) and B (a sentencepiece model), and
-    the bytes of all their tokens. Each Python worker loads them once."""
+    the bytes of all their tokens. Each Python worker loads them once.
+
+    Both are asked for different pieces of text only, as no token of either reaches across a space
+    from a character that is not white space: A's pattern ends a match there, and no piece of B
+    holds one. Files of which that is not known get whole texts.
+    """
 
     def __init__(self, path_a: str, path_b: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,20 +64,105 @@ class Tokenizers:
         self.size_a = np.array([len(x) for x in self.bytes_a])
         self.size_b = np.array([len(x) for x in self.bytes_b])
         # every id with what may follow it in the text of a document's groups
-        self.names = [f"{i}{mark}" for i in range(max(size, len(self.bytes_b))) for mark in ",|;"]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        self.names = pa.array(
+            f"{i}{mark}" for i in range(max(size, len(self.bytes_b))) for mark in (*",|;", ""))
+        told = json.loads(self.a.to_str())
+        split = told["pre_tokenizer"] or {}
+        self.cuts = (
+            told["normalizer"] is None and split.get("type") == "ByteLevel" and split["use_regex"]
+            and all(x["special"] for x in told["added_tokens"])
+            and not any(b" " in x.lstrip(b" ") for x in self.bytes_b))
+        self._forget()
+
+    def _forget(self) -> None:
+        # pieces by number, and the ids of A and of B with where each piece's start and the end
+        self.number: dict[str, int] = {}
+        self.known = [_laid([]), _laid([])]
+
+    def _ids(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """The ids of every text by both; none where their bytes are not a space and the text."""
-        all_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts],
-                                                         add_special_tokens=False)]
-        all_b = self.b.encode(texts, num_threads=1)
-        for i, text in enumerate(texts):
-            whole = b" " + text.encode()
-            if not text or not all(
-                    b"".join([of[k] for k in ids]) == whole
-                    for ids, of in ((all_a[i], self.bytes_a), (all_b[i], self.bytes_b))):
-                all_a[i], all_b[i] = [], []
-        return all_a, all_b
+        all_a = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
+        for text, a, b in zip(texts, all_a, self.b.encode(texts, num_threads=1)):
+            whole, a = b" " + text.encode(), a.ids
+            same = all(b"".join([of[k] for k in ids]) == whole
+                       for ids, of in ((a, self.bytes_a), (b, self.bytes_b)))
+            yield (a, b) if same else ([], [])
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Number different pieces that are not open. They are joined to texts of several pieces,
+        whose tokens are dealt out by where pieces end; where bytes differ, each is a text."""
+        groups = [pieces[i:i + TOGETHER] for i in range(0, len(pieces), TOGETHER)]
+        joined = list(self._ids([" ".join(x) for x in groups]))
+        whole = [p for x, ids in zip(groups, joined) if ids[0] for p in x]
+        single = [p for x, ids in zip(groups, joined) if not ids[0] for p in x]
+        alone = list(self._ids(single))
+        ends = np.cumsum(pc.binary_length(pa.array(whole, pa.string())).to_numpy() + 1)
+        for k, sizes in enumerate((self.size_a, self.size_b)):
+            ids, _ = _laid([x[k] for x in joined])
+            cut = np.searchsorted(np.cumsum(sizes[ids]), ends) + 1
+            self.known[k] = _behind(self.known[k], (ids, np.concatenate(([0], cut))),
+                                    _laid([x[k] for x in alone]))
+        self.number.update(zip(whole + single, range(len(self.number), 1 << 62)))
+
+    def _numbers(self, pieces: list[str]) -> np.ndarray:
+        if len(self.number) >= REMEMBER:
+            self._forget()
+        self._learn([p for p in pieces if p not in self.number])
+        return np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and how many each has: by A, then by B.
+        None where their bytes are not a space and the text."""
+        split = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        told, base = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        names, codes = told.dictionary, told.indices.to_numpy()
+        words = names.to_numpy(zero_copy_only=False).tolist()
+        is_open = pc.match_substring_regex(names, OPEN).to_numpy(zero_copy_only=False)
+        if not self.cuts:
+            is_open = np.ones(is_open.size, bool)
+        # a word behind an open one belongs to its piece, and so does an empty word at a text's end
+        begins = np.concatenate(([True], ~is_open[codes]))
+        begins[base[1:] - 1] &= np.array([not t.endswith(" ") for t in texts], bool)
+        begins[base] = True
+        edges = np.flatnonzero(begins)
+        code = codes[edges[:-1]]
+        usual = ~is_open & (pc.utf8_length(names).to_numpy() <= LONGEST)
+        usual = usual[code] & (np.diff(edges) == 1)
+        used, at = np.unique(code[usual], return_inverse=True)
+        number = np.empty(code.size, np.int64)
+        number[usual] = self._numbers([words[k] for k in used.tolist()])[at]
+        # pieces of several words, and long and open ones, are texts of their own
+        other = np.flatnonzero(~usual)
+        others = [" ".join([words[k] for k in codes[i:j].tolist()])
+                  for i, j in zip(edges[other].tolist(), edges[other + 1].tolist())]
+        place = {p: len(self.number) + k for k, p in enumerate(dict.fromkeys(others))}
+        number[other] = [place[p] for p in others]
+        own = list(self._ids(list(place)))
+        # a text with a piece that has no ids has none at all
+        counts = np.diff(np.searchsorted(edges, base))
+        text_of = np.repeat(np.arange(len(texts)), counts)
+        tables = [_behind(self.known[k], _laid([x[k] for x in own])) for k in (0, 1)]
+        lost = np.unique(text_of[np.diff(tables[0][1])[number] == 0])
+        out = []
+        for ids, starts in tables:
+            sizes = np.diff(starts)[number]
+            sizes[np.isin(text_of, lost)] = 0
+            out += [ids[ranges(starts[number], sizes)].astype(np.int64),
+                    np.bincount(text_of, sizes, len(texts)).astype(np.int64)]
+        return tuple(out)
+
+
+def _laid(parts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists end to end, and where each starts, with the end."""
+    starts = np.cumsum([0, *map(len, parts)])
+    return np.fromiter(chain.from_iterable(parts), np.int32, starts[-1]), starts
+
+
+def _behind(*tables: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Several of what ``_laid`` returns, as one."""
+    first = np.cumsum([0, *(ids.size for ids, _ in tables)])
+    return (np.concatenate([ids for ids, _ in tables]), np.concatenate(
+        [[0], *(n + starts[1:] for n, (_, starts) in zip(first, tables))]).astype(np.int64))
 
 
 _LOADED: dict[tuple[str, str], Tokenizers] = {}
@@ -135,11 +233,7 @@ class Aligned:
 
 
 def align_texts(both: Tokenizers, texts: list[str], width: int = LANE) -> Aligned:
-    all_a, all_b = both.encode(texts)
-    n_a = np.fromiter(map(len, all_a), np.int64, len(texts))
-    n_b = np.fromiter(map(len, all_b), np.int64, len(texts))
-    a = np.concatenate([np.array(x, np.int64) for x in all_a] or [np.empty(0, np.int64)])
-    b = np.concatenate([np.array(x, np.int64) for x in all_b] or [np.empty(0, np.int64)])
+    a, n_a, b, n_b = both.encode(texts)
     ends_a, ends_b = np.cumsum(both.size_a[a]), np.cumsum(both.size_b[b])
     base_a = np.concatenate(([0], np.cumsum(n_a)))
     base_b = np.concatenate(([0], np.cumsum(n_b)))
@@ -151,11 +245,12 @@ def align_texts(both: Tokenizers, texts: list[str], width: int = LANE) -> Aligne
     sizes_a, sizes_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
     marks_a, marks_b = np.zeros(a.size, np.int64), np.zeros(b.size, np.int64)
     marks_a[cut_a], marks_b[cut_b] = 1, 2
-    order[np.arange(a.size) + np.repeat(cut_b + 1 - sizes_b, sizes_a)] = 3 * a + marks_a
-    order[np.arange(b.size) + np.repeat(cut_a + 1, sizes_b)] = 3 * b + marks_b
-    written = [both.names[i] for i in order.tolist()]
+    order[np.arange(a.size) + np.repeat(cut_b + 1 - sizes_b, sizes_a)] = 4 * a + marks_a
+    order[np.arange(b.size) + np.repeat(cut_a + 1, sizes_b)] = 4 * b + marks_b
     base = base_a + base_b
-    groups = ["".join(written[i:j])[:-1] for i, j in zip(base[:-1].tolist(), base[1:].tolist())]
+    order[base[1:][np.diff(base) > 0] - 1] += 1  # no mark behind the last one
+    groups = pc.binary_join(pa.ListArray.from_arrays(
+        pa.array(base.astype(np.int32)), both.names.take(pa.array(order))), "").to_pylist()
     # links of equal id pairs in one text are counted
     space = len(both.bytes_a) * len(both.bytes_b)
     key, times = np.unique(text_of[link_a] * space + a[link_a] * len(both.bytes_b) + b[link_b],
